@@ -52,3 +52,9 @@ def shape_of(doc: Column) -> Column:
         out = out.when(cond, name)
     kind = F.schema_of_variant(doc)
     return out.when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "single").otherwise("unrecognised")
+
+
+def explode_variants(df, text: str, keep: Sequence[str]):
+    """One row per parcel as a VARIANT, for work that does not know the fields in advance."""
+    docs = df.withColumn("_doc", parse_or_salvage(F.col(text)))
+    return docs.select(*keep, F.posexplode(parcels_of(F.col("_doc"))).alias("position", "parcel_json"))

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EARTH_METRES = 6371000.0
 EARTH_MILES = EARTH_METRES * 0.000621371
@@ -176,7 +177,7 @@ def _clip(subject, clipper) -> list[float]:
     return out.ravel().tolist() if len(out) >= 3 else []
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _clip_udf(subject: pd.Series, clipper: pd.Series) -> pd.Series:
     return pd.Series([_clip(s, c) if s is not None and c is not None else None for s, c in zip(subject, clipper)])
 
