@@ -182,9 +182,12 @@ def _clip_udf(subject: pd.Series, clipper: pd.Series) -> pd.Series:
     return pd.Series([_clip(s, c) if s is not None and c is not None else None for s, c in zip(subject, clipper)])
 
 
-def ring_intersection(subject: Column, convex_clipper: Column) -> Column:
-    """Overlap ring, exact when the second ring is convex; NULL when there is none."""
-    return unflat(_clip_udf(flat(subject), flat(convex_clipper)))
+def clipped(subject: Column, convex_clipper: Column) -> Column:
+    """Overlap of two rings as flat coordinates, exact when the second ring is convex.
+
+    Store it as a column before calling :func:`unflat`: a Python UDF may not sit inside a lambda.
+    """
+    return _clip_udf(flat(subject), flat(convex_clipper))
 
 
 def is_convex(ring: Column) -> Column:

@@ -113,12 +113,6 @@ def commodities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COMMODITIES, schema)
 
 
-def station_boxes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        STATION_BOXES, "box_state string, min_lat double, max_lat double, min_lon double, max_lon double"
-    )
-
-
 def name_crops(df: DataFrame, code: str = "crop_code") -> DataFrame:
     """Attach crop name and category; codes outside the list read ``Unknown (n)`` / Other."""
     dim = crop_classes(df.sparkSession).withColumnRenamed("crop_code", "_code")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.operators.dimensions import CROP_NAMES, LAND_COVER_CLASSES
+from fieldbook.operators.dimensions import CROP_CATEGORIES, CROP_NAMES, LAND_COVER_CLASSES
 
 AS_OF = "2002-01-01 00:00:00"
 AS_OF_EPOCH = 1009843200
@@ -147,6 +147,16 @@ TABLES: dict[str, str] = {
         FROM customer""",
 }
 
+TABLES["classes"] = "SELECT * FROM (VALUES {}) AS t(nlcd_code, class_name, class_category, class_color, is_agricultural, is_natural)".format(
+    ", ".join(str(row).replace("True", "true").replace("False", "false") for row in LAND_COVER_CLASSES)
+)
+TABLES["crops"] = "SELECT * FROM (VALUES {}) AS t(crop_code, crop_name, crop_category)".format(
+    ", ".join(
+        f"({code}, '{name}', '{next((k for k, v in CROP_CATEGORIES.items() if code in v), 'Other')}')"
+        for code, name in CROP_NAMES.items()
+    )
+)
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
