@@ -140,70 +140,146 @@ def ring_box(ring: Column) -> Column:
     )
 
 
-def flat(ring: Column) -> Column:
-    return F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-
-
-def unflat(values: Column) -> Column:
-    index = F.sequence(F.lit(0), (F.size(values) / 2 - 1).cast("int"))
-    ring = F.transform(index, lambda i: F.struct(F.get(values, i * 2).alias("x"), F.get(values, i * 2 + 1).alias("y")))
-    return F.when(F.size(values) >= 6, ring)
-
-
-def _open_ring(values) -> np.ndarray:
-    ring = np.asarray(values, dtype=float).reshape(-1, 2)
-    return ring[:-1] if len(ring) > 1 and np.array_equal(ring[0], ring[-1]) else ring
-
-
-def _clip(subject, clipper) -> list[float]:
-    """Part of ``subject`` inside a convex ``clipper``: one half-plane per clipper edge."""
-    out, window = _open_ring(subject), _open_ring(clipper)
-    nxt = np.roll(window, -1, axis=0)
-    if np.sum(window[:, 0] * nxt[:, 1] - nxt[:, 0] * window[:, 1]) < 0:
-        window = window[::-1]
-        nxt = np.roll(window, -1, axis=0)
-    for a, b in zip(window, nxt):
-        if len(out) < 3:
-            return []
+# Polygon work on whole columns of WKT: one Arrow pass per geometry, one per candidate pair. Marked
+# non-deterministic so that the optimizer never evaluates them twice to push a filter down.
+
+
+def _parse(wkt) -> np.ndarray | None:
+    """Outer ring of a WKT polygon as an (n, 2) array without the closing point."""
+    if wkt is None:
+        return None
+    head, _, rest = wkt.partition("((")
+    if head.strip().upper() != "POLYGON":
+        return None
+    try:
+        ring = np.array([[float(v) for v in p.split()] for p in rest.split(")")[0].split(",")])
+    except ValueError:
+        return None
+    if ring.ndim != 2 or ring.shape[1] != 2:
+        return None
+    if len(ring) > 1 and (ring[0] == ring[-1]).all():
+        ring = ring[:-1]
+    return ring if len(ring) >= 3 else None
+
+
+def _twice_area(ring: np.ndarray) -> float:
+    """Signed, relative to the first point to keep the products small."""
+    r = ring - ring[0]
+    n = np.roll(r, -1, axis=0)
+    return float(np.sum(r[:, 0] * n[:, 1] - n[:, 0] * r[:, 1]))
+
+
+def _to_mercator(ring: np.ndarray) -> np.ndarray:
+    rad = np.radians(ring)
+    return np.column_stack([rad[:, 0], np.log(np.tan(math.pi / 4 + rad[:, 1] / 2))]) * MERCATOR_RADIUS
+
+
+def _centre(ring: np.ndarray) -> tuple[float, float]:
+    r = ring - ring[0]
+    n = np.roll(r, -1, axis=0)
+    cross = r[:, 0] * n[:, 1] - n[:, 0] * r[:, 1]
+    total = cross.sum()
+    if total == 0:
+        return float(ring[0, 0]), float(ring[0, 1])
+    c = ((r + n) * cross[:, None]).sum(axis=0) / (3 * total) + ring[0]
+    return float(c[0]), float(c[1])
+
+
+def _turns(ring: np.ndarray) -> np.ndarray:
+    a, b = np.roll(ring, 1, axis=0), np.roll(ring, -1, axis=0)
+    return (ring[:, 0] - a[:, 0]) * (b[:, 1] - ring[:, 1]) - (ring[:, 1] - a[:, 1]) * (b[:, 0] - ring[:, 0])
+
+
+def _convex_pieces(ring: np.ndarray) -> list[np.ndarray]:
+    """The ring itself when convex, else triangles cut off ear by ear (simple rings)."""
+    ring = ring if _twice_area(ring) >= 0 else ring[::-1]
+    pieces = []
+    while len(ring) > 3:
+        turns = _turns(ring)
+        if (turns >= 0).all():
+            break
+        for i in np.flatnonzero(turns > 0):
+            tri = ring[[i - 1, i, (i + 1) % len(ring)]]
+            others = np.delete(ring, [(i - 1) % len(ring), i, (i + 1) % len(ring)], axis=0)
+            nxt = np.roll(tri, -1, axis=0)
+            side = (nxt[:, 0, None] - tri[:, 0, None]) * (others[None, :, 1] - tri[:, 1, None]) - (
+                nxt[:, 1, None] - tri[:, 1, None]
+            ) * (others[None, :, 0] - tri[:, 0, None])
+            if not (side > 0).all(axis=0).any():
+                pieces.append(tri)
+                ring = np.delete(ring, i, axis=0)
+                break
+        else:
+            break
+    pieces.append(ring)
+    return pieces
+
+
+def _clip(subject: np.ndarray, window: np.ndarray) -> np.ndarray | None:
+    """Part of ``subject`` inside a counter-clockwise convex ``window``, half-plane by half-plane."""
+    out = subject
+    for a, b in zip(window, np.roll(window, -1, axis=0)):
         side = (b[0] - a[0]) * (out[:, 1] - a[1]) - (b[1] - a[1]) * (out[:, 0] - a[0])
-        pieces = []
+        kept = []
         for i in range(len(out)):
             j = (i + 1) % len(out)
             if side[i] >= 0:
-                pieces.append(out[i])
+                kept.append(out[i])
             if side[i] * side[j] < 0:
-                pieces.append(out[i] + (out[j] - out[i]) * (side[i] / (side[i] - side[j])))
-        out = np.asarray(pieces).reshape(-1, 2)
-    return out.ravel().tolist() if len(out) >= 3 else []
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _clip_udf(subject: pd.Series, clipper: pd.Series) -> pd.Series:
-    return pd.Series([_clip(s, c) if s is not None and c is not None else None for s, c in zip(subject, clipper)])
-
-
-def clipped(subject: Column, convex_clipper: Column) -> Column:
-    """Overlap of two rings as flat coordinates, exact when the second ring is convex.
-
-    Store it as a column before calling :func:`unflat`: a Python UDF may not sit inside a lambda.
-    """
-    return _clip_udf(flat(subject), flat(convex_clipper))
-
-
-def is_convex(ring: Column) -> Column:
-    """All turns go the same way."""
-    closed = F.when(
-        (ring[0]["x"] == F.element_at(ring, -1)["x"]) & (ring[0]["y"] == F.element_at(ring, -1)["y"]),
-        F.slice(ring, 1, F.size(ring) - 1),
-    ).otherwise(ring)
-    n = F.size(closed)
-    turns = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: (
-            (F.get(closed, (i + 1) % n)["x"] - F.get(closed, i)["x"])
-            * (F.get(closed, (i + 2) % n)["y"] - F.get(closed, (i + 1) % n)["y"])
-            - (F.get(closed, (i + 1) % n)["y"] - F.get(closed, i)["y"])
-            * (F.get(closed, (i + 2) % n)["x"] - F.get(closed, (i + 1) % n)["x"])
-        ),
-    )
-    return ~(F.exists(turns, lambda t: t > 0) & F.exists(turns, lambda t: t < 0))
+                kept.append(out[i] + (out[j] - out[i]) * (side[i] / (side[i] - side[j])))
+        if len(kept) < 3:
+            return None
+        out = np.asarray(kept)
+    return out
+
+
+def _double_fields(names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.DoubleType()) for n in names.split()]
+
+
+RING_FACTS = T.StructType(_double_fields("x0 y0 x1 y1 area mercator_area mercator_x mercator_y"))
+OVERLAP = T.StructType(
+    [T.StructField("pieces", T.ArrayType(T.ArrayType(T.DoubleType()))), *_double_fields("area mercator_area")]
+)
+
+
+@F.pandas_udf(RING_FACTS)
+def _ring_facts_udf(wkt: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text in wkt:
+        ring = _parse(text)
+        if ring is None:
+            rows.append((None,) * 8)
+            continue
+        flat = _to_mercator(ring)
+        rows.append(
+            (*ring.min(axis=0), *ring.max(axis=0), abs(_twice_area(ring)) / 2, abs(_twice_area(flat)) / 2, *_centre(flat))
+        )
+    return pd.DataFrame(rows, columns=RING_FACTS.names)
+
+
+@F.pandas_udf(OVERLAP)
+def _overlap_udf(subject: pd.Series, other: pd.Series) -> pd.DataFrame:
+    rows = []
+    for s, o in zip(subject, other):
+        a, b = _parse(s), _parse(o)
+        found = [] if a is None or b is None else [_clip(a, piece) for piece in _convex_pieces(b)]
+        found = [f for f in found if f is not None]
+        rows.append(
+            (
+                [f.ravel().tolist() for f in found],
+                sum(abs(_twice_area(f)) / 2 for f in found),
+                sum(abs(_twice_area(_to_mercator(f))) / 2 for f in found),
+            )
+        )
+    return pd.DataFrame(rows, columns=OVERLAP.names)
+
+
+def ring_facts(wkt: Column) -> Column:
+    """struct of bounding box, areas (square degrees, square mercator metres) and mercator centroid."""
+    return _ring_facts_udf.asNondeterministic()(wkt)
+
+
+def overlap(subject_wkt: Column, other_wkt: Column) -> Column:
+    """struct of the common area: its pieces (flat coordinates) and their areas; exact for simple rings."""
+    return _overlap_udf.asNondeterministic()(subject_wkt, other_wkt)

@@ -245,7 +245,7 @@ SQUARES = """ p AS (SELECT parcel_id, latitude AS y, longitude AS x, 0.05e0 + (k
    ln(tan(pi() / 4 + radians(uy - uh) / 2)) AS u0, ln(tan(pi() / 4 + radians(uy + uh) / 2)) AS u1 FROM met),
  overlap AS (SELECT parcel_id, mukey, (x1 - x0) * (y1 - y0) / (4 * ph * ph) AS overlap_ratio,
    6378137.0 * 6378137.0 * radians(x1 - x0) * (m1 - m0) / 4047 AS intersection_acres, 6378137.0 * 6378137.0 * radians(2 * ph) * (p1 - p0) / 4047 AS parcel_acres,
-   radians(x1 - x0) * (m1 - m0) / (radians(2 * ph) * (p1 - p0)) * 100 AS coverage_percent,
+   round(radians(x1 - x0) * (m1 - m0) / (radians(2 * ph) * (p1 - p0)) * 100, 6) AS coverage_percent,
    6378137.0 * sqrt(pow(radians(px - ux), 2) + pow((p0 + p1) / 2 - (u0 + u1) / 2, 2)) * 0.000621371 AS distance_miles FROM merc)"""
 
 
@@ -265,29 +265,28 @@ def _units(spark, sf):
 
 
 def _metrics(spark, sf):
-    return spatial.overlap_metrics(
-        spatial.overlap_pairs(_parcel_squares(spark, sf), _units(spark, sf), "parcel_id", "mukey", 0.5)
-    )
+    pairs = spatial.overlap_pairs(_parcel_squares(spark, sf), _units(spark, sf), "parcel_id", "mukey", 0.5)
+    return pairs.drop("overlap_pieces")
 
 
-@query("j06_soil_overlap", f"""WITH {SQUARES} SELECT parcel_id, mukey, round(overlap_ratio, 5) AS overlap_ratio, round(intersection_acres, 2) AS intersection_acres,
-  round(coverage_percent, 4) AS coverage_percent, round(distance_miles, 3) AS distance_miles FROM overlap""", "parcels")
+@query("j06_soil_overlap", f"""WITH {SQUARES} SELECT parcel_id, mukey, round(overlap_ratio + 1e-9, 5) AS overlap_ratio, round(intersection_acres, 2) AS intersection_acres,
+  coverage_percent, round(distance_miles, 3) AS distance_miles FROM overlap""", "parcels")
 def j06(spark, sf):
     return _metrics(spark, sf).select(
-        "parcel_id", "mukey", F.round("overlap_ratio", 5).alias("overlap_ratio"),
-        F.round("intersection_acres", 2).alias("intersection_acres"), F.round("coverage_percent", 4).alias("coverage_percent"),
+        "parcel_id", "mukey", F.round(F.col("overlap_ratio") + 1e-9, 5).alias("overlap_ratio"),
+        F.round("intersection_acres", 2).alias("intersection_acres"), F.round("coverage_percent", 6).alias("coverage_percent"),
         F.round("distance_miles", 3).alias("distance_miles"),
     )
 
 
 @query("j07_top_soils", f"""WITH {SQUARES}, ranked AS (SELECT parcel_id, mukey, overlap_ratio, row_number() OVER (PARTITION BY parcel_id ORDER BY round(overlap_ratio, 9) DESC, mukey) AS r FROM overlap)
- SELECT parcel_id, max(CASE WHEN r = 1 THEN mukey END) AS primary_mukey, round(max(CASE WHEN r = 1 THEN overlap_ratio END), 5) AS primary_overlap,
+ SELECT parcel_id, max(CASE WHEN r = 1 THEN mukey END) AS primary_mukey, round(max(CASE WHEN r = 1 THEN overlap_ratio END) + 1e-8, 5) AS primary_overlap,
    string_agg(mukey, ',' ORDER BY r) AS mukeys FROM ranked WHERE r <= 5 GROUP BY 1""", "parcels")
 def j07(spark, sf):
     metrics = _metrics(spark, sf).withColumn("overlap_ratio", F.round("overlap_ratio", 9))
     out = spatial.top_units(metrics, "parcel_id", "mukey")
     return out.select(
-        "parcel_id", "primary_mukey", F.round("primary_overlap", 5).alias("primary_overlap"),
+        "parcel_id", "primary_mukey", F.round(F.col("primary_overlap") + 1e-8, 5).alias("primary_overlap"),
         F.array_join(F.transform("units", lambda u: u["mukey"].cast("string")), ",").alias("mukeys"),
     )
 
@@ -371,7 +370,8 @@ def g14(spark, sf):
 @query("j08_components", f"""WITH {SOIL} SELECT parcel_id, mukey, map_unit_name, soil_series, CAST(pct AS BIGINT) AS component_percentage, match_quality FROM scored""", "parcels")
 def j08(spark, sf):
     mapunits, components, _ = _soil_tables(spark, sf)
-    out = soil.attach_components(_metrics(spark, sf), mapunits, components)
+    metrics = _metrics(spark, sf).withColumn("coverage_percent", F.round("coverage_percent", 6))
+    out = soil.attach_components(metrics, mapunits, components)
     return out.select("parcel_id", "mukey", "map_unit_name", "soil_series", "component_percentage", "match_quality")
 
 
