@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldbook.functions.values import first_match
 
@@ -132,11 +131,11 @@ def county_thresholds(quality: DataFrame, max_error_percent: float = 5.0, min_re
 
 
 def table_check(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """One row: has rows, required columns present, overall status."""
+    """One row: row count, required columns present, overall status."""
     missing = sorted({c.lower() for c in required} - {c.lower() for c in df.columns})
-    rows = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.agg(F.count(F.lit(1)).alias("n"))
     return rows.select(
-        (F.col("n") > 0).alias("has_rows"), F.lit(",".join(missing)).alias("missing_columns"),
+        F.col("n").alias("row_count"), (F.col("n") > 0).alias("has_rows"), F.lit(",".join(missing)).alias("missing_columns"),
         F.when((F.col("n") > 0) & F.lit(not missing), "pass").otherwise("fail").alias("status"),
     )
 
@@ -229,6 +228,3 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 def with_missing_as_zero(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Add absent numeric feature columns as 0, as the scoring step expects."""
     return df.withColumns({c: F.lit(0.0) for c in missing_columns(df, required)})
-
-
-NUMERIC = (T.NumericType,)

@@ -121,7 +121,7 @@ def dq06(spark, sf):
     return out.select("event_type", F.date_format("newest", "yyyy-MM-dd HH:mm:ss").alias("newest"), "status")
 
 
-@query("dq09_table_check", """SELECT count(*) > 0 AS has_rows, 'phone' AS missing_columns, 'fail' AS status FROM orders""")
+@query("dq09_table_check", """SELECT count(*) AS row_count, count(*) > 0 AS has_rows, 'phone' AS missing_columns, 'fail' AS status FROM orders""")
 def dq09(spark, sf):
     return quality.table_check(base(spark, sf, "orders"), ["O_ORDERKEY", "o_custkey", "phone"])
 
@@ -370,12 +370,16 @@ def snk02(spark, sf):
     return spark.createDataFrame([(first, appended, replaced)], "first_load bigint, after_append bigint, after_replace bigint")
 
 
-@query("snk16_table_ddl", """SELECT column_name, data_type FROM (VALUES ('o_orderkey', 'BIGINT'), ('o_custkey', 'BIGINT'), ('o_orderstatus', 'STRING'), ('o_totalprice', 'DOUBLE'),
-  ('o_orderdate', 'TIMESTAMP_NTZ'), ('o_orderpriority', 'STRING')) AS t(column_name, data_type)""")
+@query("snk16_table_ddl", """SELECT column_name, data_type, filled FROM (VALUES ('o_orderkey', 'BIGINT', (SELECT count(o_orderkey) FROM orders)), ('o_custkey', 'BIGINT', (SELECT count(o_custkey) FROM orders)),
+  ('o_orderstatus', 'STRING', (SELECT count(o_orderstatus) FROM orders)), ('o_totalprice', 'DOUBLE', (SELECT count(o_totalprice) FROM orders)),
+  ('o_orderdate', 'TIMESTAMP_NTZ', (SELECT count(o_orderdate) FROM orders)), ('o_orderpriority', 'STRING', (SELECT count(o_orderpriority) FROM orders))) AS t(column_name, data_type, filled)""")
 def snk16(spark, sf):
     orders = base(spark, sf, "orders")
-    rows = [(f.name, store.column_type(f.name, f.dataType.simpleString())) for f in orders.schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string")
+    kinds = {f.name: store.column_type(f.name, f.dataType.simpleString()) for f in orders.schema.fields}
+    # Every column is cast to its declared type, and the filled values of each are counted.
+    one = orders.agg(*[F.count(F.col(c).cast(k)).alias(c) for c, k in kinds.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("data_type"), F.col(c).alias("filled")) for c, k in kinds.items()]
+    return one.select(F.inline(F.array(*rows)))
 
 
 @query("snap01_scd2", """
