@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldbook.functions.values import (
     is_business_mail, mail_domain, mapped, null_if_token, right_closed_bin, share_filled, whole_days,
 )
-from fieldbook.operators.ranking import exact_quantiles, latest_by, quantile_or_width_bucket, with_group_size
+from fieldbook.operators.ranking import latest_by, quantile_or_width_bucket, quantile_values, with_group_size
 from fieldbook.session import cut_lineage
 
 OBJECT_TYPE = (
@@ -240,8 +240,8 @@ def contact_features(df: DataFrame) -> DataFrame:
 
 def above_quantile(df: DataFrame, value: str, q: float, out: str) -> DataFrame:
     """Flag values above the exact quantile of the column."""
-    edge = exact_quantiles(df, value, {"edge": q}).select("edge").scalar()
-    return df.withColumn("_edge", edge).withColumn(out, F.col(value) > F.col("_edge")).drop("_edge")
+    edges = quantile_values(df, value, [q])
+    return df.withColumn(out, F.col(value) > (F.lit(edges[0]) if edges else F.lit(None).cast("double")))
 
 
 def behaviour_features(df: DataFrame) -> DataFrame:
@@ -307,12 +307,10 @@ def segmentation_features(df: DataFrame) -> DataFrame:
     )
     out = quantile_or_width_bucket(out, "_size", "company_size_score", [1, 2, 3, 4, 5])
     out = quantile_or_width_bucket(out, "_revenue", "company_revenue_score", [1, 2, 3, 4, 5])
-    few = df.agg(F.countDistinct(F.coalesce("total_deals", F.lit(0)))).scalar()
-    out = quantile_or_width_bucket(out, "_deals", "_deal_score", [0, 1, 2, 3, 4])
-    out = out.withColumn("_few", few).withColumn(
-        "deal_activity_score",
-        F.when(F.col("_few") > 5, F.col("_deal_score")).otherwise((F.col("_deals") > 0).cast("double") * 2),
-    )
+    if out.select("_deals").distinct().limit(6).count() > 5:
+        out = quantile_or_width_bucket(out, "_deals", "deal_activity_score", [0, 1, 2, 3, 4])
+    else:
+        out = out.withColumn("deal_activity_score", (F.col("_deals") > 0).cast("double") * 2)
     tops = df.agg(F.struct(F.max("days_since_created").alias("days"), F.max("lifecycle_stage_order").alias("stage")).alias("m"))
     out = out.withColumn("_m", tops.scalar())
     days, stage = F.col("_m.days"), F.col("_m.stage")
@@ -322,7 +320,7 @@ def segmentation_features(df: DataFrame) -> DataFrame:
             "recency_score": F.when(days > 0, 1 - F.col("days_since_created") / days),
             "lifecycle_score": F.when(stage > 0, F.col("lifecycle_stage_order") / stage).otherwise(0.0),
         }
-    ).drop("_size", "_revenue", "_deals", "_deal_score", "_few", "_m")
+    ).drop("_size", "_revenue", "_deals", "_m")
 
 
 # Deals ------------------------------------------------------------------------------------------

@@ -61,16 +61,18 @@ def dense_rank_desc(df: DataFrame, value: str, out: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = ()
+    df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one column per entry of ``probs``.
 
+    ``weight`` names a column that says how many rows each row stands for.
+
     Works on (value, count) pairs: repeated values collapse before the shuffle, and the position of
     each value comes from a distributed running count.
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")
     )
     upto = running_total(counts, keys, [F.col("_v")], "_n", "_hi")
     if keys:
@@ -100,56 +102,58 @@ def exact_quantiles(
     )
 
 
-def edges_array(df: DataFrame, value: str, probs: Sequence[float]) -> Column:
-    """The distinct quantile edges of a column, ascending, as a scalar sub-query."""
+def quantile_values(df: DataFrame, value: str, probs: Sequence[float], weight: str | None = None) -> list[float]:
+    """A few exact quantiles as numbers: one row comes back to the driver. Empty for an empty column."""
     names = {f"q{i}": p for i, p in enumerate(probs)}
-    row = exact_quantiles(df, value, names)
-    return row.select(F.array_distinct(F.array(*names)).alias("edges")).scalar()
+    columns = [value, weight] if weight else [value]
+    row = exact_quantiles(df.select(*columns), value, names, weight=weight).first()
+    return [] if row is None or row["q0"] is None else [row[n] for n in names]
+
+
+def _below(value: Column, edges: Sequence[float]) -> Column:
+    """How many of the edges lie strictly below the value."""
+    return sum((F.when(value > e, 1).otherwise(0) for e in edges), F.lit(0))
+
+
+def _distinct(edges: Sequence[float]) -> list[float]:
+    return sorted(set(edges))
 
 
 def decile(df: DataFrame, value: str, out: str) -> DataFrame:
     """1..10: one plus the number of inner decile edges strictly below the value (right-closed)."""
-    inner = edges_array(df, value, [i / 10 for i in range(1, 10)])
-    tagged = df.withColumn("_edges", inner)
-    below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col(value)))
-    return tagged.withColumn(out, F.when(F.col(value).isNotNull(), below + 1)).drop("_edges")
+    edges = _distinct(quantile_values(df, value, [i / 10 for i in range(1, 10)]))
+    v = F.col(value)
+    return df.withColumn(out, F.when(v.isNotNull(), _below(v, edges) + 1))
 
 
 def quantile_bucket(df: DataFrame, value: str, q: int, out: str, first_label: int = 1) -> DataFrame:
     """Equal-frequency buckets; equal edges merge, and merged buckets are numbered without gaps."""
-    edges = edges_array(df, value, [i / q for i in range(q + 1)])
-    tagged = df.withColumn("_edges", edges)
-    below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col(value)))
-    bucket = F.greatest(below, F.lit(1)) - 1 + first_label
-    return tagged.withColumn(out, F.when(F.col(value).isNotNull(), bucket)).drop("_edges")
+    edges = _distinct(quantile_values(df, value, [i / q for i in range(q + 1)]))
+    v = F.col(value)
+    return df.withColumn(out, F.when(v.isNotNull(), F.greatest(_below(v, edges), F.lit(1)) - 1 + first_label))
 
 
 def quantile_or_width_bucket(df: DataFrame, value: str, out: str, labels: Sequence[float]) -> DataFrame:
-    """Score by five quantile buckets; when edges coincide use five equal widths instead.
+    """Score by quantile buckets, one per label; when edges coincide use equal widths instead.
 
-    With five or fewer distinct values: 5 above the median, else 3.
+    With no more distinct values than labels: 5 above the median, else 3.
     """
     q = len(labels)
-    probs = {f"q{i}": i / q for i in range(q + 1)} | {"median": 0.5}
-    facts = exact_quantiles(df, value, probs)
-    distinct = df.agg(F.countDistinct(value).alias("n"))
-    edge_struct = facts.select(
-        F.struct(
-            F.array(*[f"q{i}" for i in range(q + 1)]).alias("edges"), F.col("median"), F.col("q0").alias("lo"),
-            F.col(f"q{q}").alias("hi"),
-        ).alias("s")
-    ).scalar()
-    tagged = df.withColumn("_f", edge_struct).withColumn("_d", distinct.scalar())
+    edges = quantile_values(df, value, [*[i / q for i in range(q + 1)], 0.5])
     v = F.col(value)
-    edges = F.col("_f")["edges"]
-    names = F.array(*[F.lit(float(x)) for x in labels])
-    by_quantile = F.greatest(F.size(F.filter(edges, lambda e: e < v)), F.lit(1))
-    step = (F.col("_f")["hi"] - F.col("_f")["lo"]) / q
-    by_width = F.greatest(F.ceil((v - F.col("_f")["lo"]) / step).cast("int"), F.lit(1))
-    bucket = F.when(F.size(F.array_distinct(edges)) == q + 1, by_quantile).otherwise(F.least(by_width, F.lit(q)))
-    few = F.when(v > F.col("_f")["median"], F.lit(5.0)).otherwise(F.lit(3.0))
-    scored = F.when(F.col("_d") > q, F.get(names, bucket - 1)).otherwise(few)
-    return tagged.withColumn(out, F.when(v.isNotNull(), scored)).drop("_f", "_d")
+    if not edges:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    *edges, median = edges
+    if df.select(value).where(v.isNotNull()).distinct().limit(q + 1).count() <= q:
+        score = F.when(v > median, 5.0).otherwise(3.0)
+    else:
+        if len(set(edges)) == q + 1:
+            bucket = F.greatest(_below(v, edges), F.lit(1))
+        else:
+            step = (edges[-1] - edges[0]) / q
+            bucket = F.least(F.greatest(F.ceil((v - edges[0]) / step).cast("int"), F.lit(1)), F.lit(q))
+        score = F.get(F.array(*[F.lit(float(x)) for x in labels]), bucket - 1)
+    return df.withColumn(out, F.when(v.isNotNull(), score))
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

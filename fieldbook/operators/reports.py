@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import right_closed_bin
-from fieldbook.operators.ranking import decile, dense_rank_desc, exact_quantiles, quantile_bucket, top_n, top_n_per_key
+from fieldbook.operators.ranking import decile, dense_rank_desc, exact_quantiles, quantile_bucket, quantile_values, top_n, top_n_per_key
 
 SCORE_EDGES = [0, 0.3, 0.6, 0.8, 1.0]
 
@@ -92,7 +92,7 @@ def score_distribution(scored: DataFrame, score: str) -> DataFrame:
         F.count(s).alias("total"), F.avg(s).alias("mean"), F.max(s).alias("highest"), F.min(s).alias("lowest"),
         F.count_if(s >= 80).alias("high"), F.count_if((s >= 50) & (s < 80)).alias("medium"), F.count_if(s < 50).alias("low"),
     )
-    return one.withColumn("median", exact_quantiles(scored, score, {"m": 0.5}).select("m").scalar())
+    return one.withColumn("median", F.lit((quantile_values(scored, score, [0.5]) or [None])[0]).cast("double"))
 
 
 def segment_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
