@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -115,19 +116,19 @@ def _edge_sum(ring: Column, term) -> Column:
     return F.aggregate(_edges(ring), F.lit(0.0), lambda acc, e: acc + term(e))
 
 
-def _cross(e: Column) -> Column:
+def _edge_cross(e: Column) -> Column:
     return e["ax"] * e["by"] - e["bx"] * e["ay"]
 
 
 def ring_area(ring: Column) -> Column:
-    return F.abs(_edge_sum(ring, _cross)) / 2
+    return F.abs(_edge_sum(ring, _edge_cross)) / 2
 
 
 def ring_centroid(ring: Column) -> Column:
     """Area centroid; a ring without area falls back to its first point."""
-    twice = _edge_sum(ring, _cross)
-    cx = _edge_sum(ring, lambda e: (e["ax"] + e["bx"]) * _cross(e)) / (twice * 3)
-    cy = _edge_sum(ring, lambda e: (e["ay"] + e["by"]) * _cross(e)) / (twice * 3)
+    twice = _edge_sum(ring, _edge_cross)
+    cx = _edge_sum(ring, lambda e: (e["ax"] + e["bx"]) * _edge_cross(e)) / (twice * 3)
+    cy = _edge_sum(ring, lambda e: (e["ay"] + e["by"]) * _edge_cross(e)) / (twice * 3)
     return F.when(
         twice != 0, F.struct((ring[0]["x"] + cx).alias("x"), (ring[0]["y"] + cy).alias("y"))
     ).otherwise(ring[0])
@@ -144,92 +145,94 @@ def ring_box(ring: Column) -> Column:
 # non-deterministic so that the optimizer never evaluates them twice to push a filter down.
 
 
-def _parse(wkt) -> np.ndarray | None:
-    """Outer ring of a WKT polygon as an (n, 2) array without the closing point."""
+Point = tuple[float, float]
+
+
+@functools.lru_cache(maxsize=20000)
+def _parse(wkt: str | None) -> tuple[Point, ...] | None:
+    """Outer ring of a WKT polygon without the closing point; None when it does not parse."""
     if wkt is None:
         return None
     head, _, rest = wkt.partition("((")
     if head.strip().upper() != "POLYGON":
         return None
     try:
-        ring = np.array([[float(v) for v in p.split()] for p in rest.split(")")[0].split(",")])
+        ring = [tuple(map(float, p.split())) for p in rest.split(")")[0].split(",")]
     except ValueError:
         return None
-    if ring.ndim != 2 or ring.shape[1] != 2:
+    if any(len(p) != 2 for p in ring):
         return None
-    if len(ring) > 1 and (ring[0] == ring[-1]).all():
-        ring = ring[:-1]
-    return ring if len(ring) >= 3 else None
+    if len(ring) > 1 and ring[0] == ring[-1]:
+        ring.pop()
+    return tuple(ring) if len(ring) >= 3 else None
 
 
-def _twice_area(ring: np.ndarray) -> float:
-    """Signed, relative to the first point to keep the products small."""
-    r = ring - ring[0]
-    n = np.roll(r, -1, axis=0)
-    return float(np.sum(r[:, 0] * n[:, 1] - n[:, 0] * r[:, 1]))
+def _cross(o: Point, a: Point, b: Point) -> float:
+    return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
 
 
-def _to_mercator(ring: np.ndarray) -> np.ndarray:
-    rad = np.radians(ring)
-    return np.column_stack([rad[:, 0], np.log(np.tan(math.pi / 4 + rad[:, 1] / 2))]) * MERCATOR_RADIUS
+def _twice_area(ring: Sequence[Point]) -> float:
+    """Signed, as a fan from the first point, which keeps the products small."""
+    return sum(_cross(ring[0], ring[i], ring[i + 1]) for i in range(1, len(ring) - 1))
 
 
-def _centre(ring: np.ndarray) -> tuple[float, float]:
-    r = ring - ring[0]
-    n = np.roll(r, -1, axis=0)
-    cross = r[:, 0] * n[:, 1] - n[:, 0] * r[:, 1]
-    total = cross.sum()
-    if total == 0:
-        return float(ring[0, 0]), float(ring[0, 1])
-    c = ((r + n) * cross[:, None]).sum(axis=0) / (3 * total) + ring[0]
-    return float(c[0]), float(c[1])
+def _to_mercator(ring: Sequence[Point]) -> list[Point]:
+    return [
+        (math.radians(x) * MERCATOR_RADIUS, math.log(math.tan(math.pi / 4 + math.radians(y) / 2)) * MERCATOR_RADIUS) for x, y in ring
+    ]
 
 
-def _turns(ring: np.ndarray) -> np.ndarray:
-    a, b = np.roll(ring, 1, axis=0), np.roll(ring, -1, axis=0)
-    return (ring[:, 0] - a[:, 0]) * (b[:, 1] - ring[:, 1]) - (ring[:, 1] - a[:, 1]) * (b[:, 0] - ring[:, 0])
+def _centre(ring: Sequence[Point]) -> Point:
+    total = cx = cy = 0.0
+    o = ring[0]
+    for a, b in zip(ring[1:], ring[2:]):
+        w = _cross(o, a, b)
+        total += w
+        cx += w * (a[0] + b[0] - 2 * o[0])
+        cy += w * (a[1] + b[1] - 2 * o[1])
+    return (o[0] + cx / (3 * total), o[1] + cy / (3 * total)) if total else o
 
 
-def _convex_pieces(ring: np.ndarray) -> list[np.ndarray]:
+@functools.lru_cache(maxsize=20000)
+def _convex_pieces(ring: tuple[Point, ...]) -> list[list[Point]]:
     """The ring itself when convex, else triangles cut off ear by ear (simple rings)."""
-    ring = ring if _twice_area(ring) >= 0 else ring[::-1]
+    left = list(ring) if _twice_area(ring) >= 0 else list(ring[::-1])
     pieces = []
-    while len(ring) > 3:
-        turns = _turns(ring)
-        if (turns >= 0).all():
+    while len(left) > 3:
+        n = len(left)
+        turns = [_cross(left[i - 1], left[i], left[(i + 1) % n]) for i in range(n)]
+        if min(turns) >= 0:
             break
-        for i in np.flatnonzero(turns > 0):
-            tri = ring[[i - 1, i, (i + 1) % len(ring)]]
-            others = np.delete(ring, [(i - 1) % len(ring), i, (i + 1) % len(ring)], axis=0)
-            nxt = np.roll(tri, -1, axis=0)
-            side = (nxt[:, 0, None] - tri[:, 0, None]) * (others[None, :, 1] - tri[:, 1, None]) - (
-                nxt[:, 1, None] - tri[:, 1, None]
-            ) * (others[None, :, 0] - tri[:, 0, None])
-            if not (side > 0).all(axis=0).any():
-                pieces.append(tri)
-                ring = np.delete(ring, i, axis=0)
+        for i in range(n):
+            a, b, c = left[i - 1], left[i], left[(i + 1) % n]
+            if turns[i] > 0 and not any(
+                _cross(a, b, p) > 0 and _cross(b, c, p) > 0 and _cross(c, a, p) > 0 for p in left if p not in (a, b, c)
+            ):
+                pieces.append([a, b, c])
+                del left[i]
                 break
         else:
             break
-    pieces.append(ring)
-    return pieces
+    return [*pieces, left]
 
 
-def _clip(subject: np.ndarray, window: np.ndarray) -> np.ndarray | None:
+def _clip(subject: Sequence[Point], window: Sequence[Point]) -> list[Point] | None:
     """Part of ``subject`` inside a counter-clockwise convex ``window``, half-plane by half-plane."""
-    out = subject
-    for a, b in zip(window, np.roll(window, -1, axis=0)):
-        side = (b[0] - a[0]) * (out[:, 1] - a[1]) - (b[1] - a[1]) * (out[:, 0] - a[0])
+    out = list(subject)
+    for k, b in enumerate(window):
+        a = window[k - 1]
+        side = [_cross(a, b, p) for p in out]
         kept = []
-        for i in range(len(out)):
-            j = (i + 1) % len(out)
+        for i, p in enumerate(out):
+            q, s = out[i - 1], side[i - 1]
+            if s * side[i] < 0:
+                t = s / (s - side[i])
+                kept.append((q[0] + (p[0] - q[0]) * t, q[1] + (p[1] - q[1]) * t))
             if side[i] >= 0:
-                kept.append(out[i])
-            if side[i] * side[j] < 0:
-                kept.append(out[i] + (out[j] - out[i]) * (side[i] / (side[i] - side[j])))
+                kept.append(p)
         if len(kept) < 3:
             return None
-        out = np.asarray(kept)
+        out = kept
     return out
 
 
@@ -253,7 +256,10 @@ def _ring_facts_udf(wkt: pd.Series) -> pd.DataFrame:
             continue
         flat = _to_mercator(ring)
         rows.append(
-            (*ring.min(axis=0), *ring.max(axis=0), abs(_twice_area(ring)) / 2, abs(_twice_area(flat)) / 2, *_centre(flat))
+            (
+                min(x for x, _ in ring), min(y for _, y in ring), max(x for x, _ in ring), max(y for _, y in ring),
+                abs(_twice_area(ring)) / 2, abs(_twice_area(flat)) / 2, *_centre(flat),
+            )
         )
     return pd.DataFrame(rows, columns=RING_FACTS.names)
 
@@ -267,7 +273,7 @@ def _overlap_udf(subject: pd.Series, other: pd.Series) -> pd.DataFrame:
         found = [f for f in found if f is not None]
         rows.append(
             (
-                [f.ravel().tolist() for f in found],
+                [[v for p in f for v in p] for f in found],
                 sum(abs(_twice_area(f)) / 2 for f in found),
                 sum(abs(_twice_area(_to_mercator(f))) / 2 for f in found),
             )

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,9 +84,14 @@ def kmeans(points: DataFrame, k: int) -> tuple[object, DataFrame]:
 
 
 def hierarchical(points: DataFrame, k: int) -> tuple[object, DataFrame]:
-    """Top-down bisection; merges are split, not joined, so trees differ from a bottom-up method."""
-    model = BisectingKMeans(k=k, seed=SEED, featuresCol="point", predictionCol="cluster").fit(points)
-    return model, model.transform(points)
+    """Top-down bisection; merges are split, not joined, so trees differ from a bottom-up method.
+
+    Splits start from the parent's centre disturbed in proportion to its length, so centred points
+    (centre 0) would never split; they are moved off the origin first, which changes no distance.
+    """
+    moved = points.withColumn("moved_point", array_to_vector(F.transform(vector_to_array("point"), lambda x: x + 10.0)))
+    model = BisectingKMeans(k=k, seed=SEED, featuresCol="moved_point", predictionCol="cluster").fit(moved)
+    return model, model.transform(moved).drop("moved_point")
 
 
 def named(labelled: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldbook.functions import geo
 from fieldbook.operators import climate, soil, spatial, topography, water
 from fieldbook.registry import query
-from fieldbook.registry.tables import base, table
+from fieldbook.registry.tables import base, spread, table
 
 MILES = geo.EARTH_MILES
 
@@ -250,14 +250,14 @@ SQUARES = """ p AS (SELECT parcel_id, latitude AS y, longitude AS x, 0.05e0 + (k
 
 
 def _parcel_squares(spark, sf):
-    p = table(spark, sf, "parcels").where("latitude IS NOT NULL")
+    p = spread(table(spark, sf, "parcels")).where("latitude IS NOT NULL")
     half = F.lit(0.05) + (F.col("k") % 3) * F.lit(0.05)
     return p.withColumn("wkt", geo.square_wkt(F.col("longitude"), F.col("latitude"), half))
 
 
 def _units(spark, sf):
     k = F.col("p_partkey")
-    units = base(spark, sf, "part").select(
+    units = spread(base(spark, sf, "part")).select(
         k.alias("mukey"), ((F.lit(25000) + k * 7907 % 24000) / 1000).alias("latitude"),
         ((k * 104723 % 59000 - 125000) / 1000).alias("longitude"), (F.lit(0.4) + (k % 4) * F.lit(0.1)).alias("half"),
     )

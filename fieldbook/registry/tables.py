@@ -192,4 +192,5 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     used = [b for b in BASE if f"FROM {b}" in text]
     for b in used:
         text = text.replace(f"FROM {b}", f"FROM {{{b}}}")
-    return spark.sql(text, **{b: base(spark, sf, b) for b in used})
+    frames = {b: base(spark, sf, b) for b in used}
+    return spark.sql(text, **{b: spread(df) if b == "lineitem" else df for b, df in frames.items()})
