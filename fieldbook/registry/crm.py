@@ -381,15 +381,16 @@ def ml19(spark, sf):
 
 
 PATTERNS = " UNION ALL ".join(
-    f"SELECT '{d}' AS dimension, {m} AS member, count(*) AS deals, round(avg(amount), 4) AS avg_amount, round(sum(amount), 2) AS total_amount, round(avg(days_to_close), 6) AS avg_days_to_close, round(avg(won), 8) AS win_rate FROM f GROUP BY 2"
+    f"SELECT '{d}' AS dimension, {m} AS member, count(*) AS deals, round(avg(amount) + 1e-7, 4) AS avg_amount, round(sum(amount) + 1e-5, 2) AS total_amount, round(avg(days_to_close) + 1e-9, 6) AS avg_days_to_close, round(avg(won), 8) AS win_rate FROM f GROUP BY 2"
     for d, m in (("overall", "NULL::VARCHAR"), ("month", "'' || m"), ("size", "size_category"), ("stage", "'' || stage_order"))
 )
 
 
 @query("a16_deal_patterns", f"WITH {DEALS} {PATTERNS}", "deals")
 def a16(spark, sf):
-    digits = {"avg_amount": 4, "total_amount": 2, "avg_days_to_close": 6, "win_rate": 8}
-    return crm.deal_patterns(_deals(spark, sf)).withColumns({c: F.round(c, n) for c, n in digits.items()})
+    # The small shift keeps exact halves off the rounding edge; the SQL side has it too.
+    digits = {"avg_amount": (4, 1e-7), "total_amount": (2, 1e-5), "avg_days_to_close": (6, 1e-9), "win_rate": (8, 0.0)}
+    return crm.deal_patterns(_deals(spark, sf)).withColumns({c: F.round(F.col(c) + e, n) for c, (n, e) in digits.items()})
 
 
 @query("a16_best_months", f"""WITH {DEALS}, p AS (SELECT m, count(*) AS n, round(sum(amount), 2) AS v, round(avg(days_to_close), 6) AS d FROM f GROUP BY 1)
