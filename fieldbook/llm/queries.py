@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, extraction
+from fieldbook.llm import bpe, extraction, imatch, neighbours, secret_scan
 from fieldbook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,56 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are.
+
+    Documents with equal ids follow each other by text. An empty table gives no rows.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    lexicon = imatch.lexicon(docs)
+    pairs = neighbours.with_next(docs, "doc_id", "text", "next_text")
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
+    both = pairs.withColumn("edited", edited).drop("next_text")
+    both = imatch.fingerprints(imatch.fingerprints(both, lexicon, "text", "own"), lexicon, "edited", "changed")
+    measured = both.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "own",
+        "changed",
+        neighbours.following("own").alias("next"),
+        neighbours.IS_COPY,
+    )
+    return measured.where(~F.col(neighbours.IS_COPY)).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        imatch.as_text(F.col("own")).alias("fingerprint"),
+        imatch.as_text(F.col("changed")).alias("edited_fingerprint"),
+        imatch.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        imatch.likeness(F.col("own"), F.col("next")).alias("near_next"),
+    )
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document; the source is the owner, (source, language) the repository."""
+    docs = table(spark, sf_dir, "documents")
+    repository = F.concat_ws("/", "source", "lang")
+    found = secret_scan.find_secrets(docs, owner=F.col("source"), repository=repository)
+    entries = F.col("found")
+    return found.select(
+        "doc_id",
+        *[secret_scan.counted(entries, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(entries, base_only=True), 256).alias("base_sha256"),
+        secret_scan.listed(entries).alias("spans"),
+        secret_scan.counted(entries, secret_scan.LIVE).alias("n_live"),
+        F.size(F.filter(entries, lambda x: x["judged"] == "example")).cast("bigint").alias("n_examples"),
+    )
+
+
 @query
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page; length in code points."""
