@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, extraction, imatch, neighbours, secret_scan
-from fieldbook.llm.common import table
+from fieldbook.llm import bpe, extraction, imatch, neighbours, nnpu, secret_scan, string_kernel
+from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,6 +75,27 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_nnpu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; trusted positives are labels of the training folds."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = nnpu.train(docs, labels, training_fold(F.col("doc_id")) & (F.col("quality") == 1))
+    return nnpu.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op6_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the training folds alone are learnt."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = training_fold(F.col("doc_id"))
+    machine = string_kernel.train(docs, labels, fold & (F.col("toxic") == 1), fold & (F.col("toxic") == 0))
+    return string_kernel.score(docs, machine).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page; length in code points."""
