@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, extraction, imatch, neighbours, nnpu, secret_scan, string_kernel
+from fieldbook.llm import bpe, extraction, imatch, neighbours, nnpu, partenum, secret_scan, string_kernel
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose shingle sets link."""
+    return partenum.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op4_nnpu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; trusted positives are labels of the training folds."""
