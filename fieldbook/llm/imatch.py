@@ -80,22 +80,32 @@ def with_kept(df: DataFrame, text_col: str, lexicon: Lexicon, out: str) -> DataF
     return joined.drop("_r", "_k")
 
 
-def _draws(field: str, shift: int, one_in: int):
-    return lambda x: F.shiftrightunsigned(x[field], shift).bitwiseAND(F.lit(one_in - 1)) == 0
-
-
 def with_signature(df: DataFrame, kept: str, out: str) -> DataFrame:
     """Adds the hashes of the kept terms under the whole lexicon and under each subset; null where a subset holds none.
 
-    Which terms a subset draws is told by bits of a further hash of the term, one for each size of subsets.
+    For each size of subsets a further hash of a term draws a number below ``one_in``; subset s holds the terms that drew s.
+    Terms that no subset of that size holds are put aside once.
     """
-    drawn = F.transform(kept, lambda h: F.struct(h.alias("h"), *[F.xxhash64(h, F.lit(i)).alias(f"u{i}") for i in range(len(SUBSETS))]))
-    hashes = [F.when(F.size(kept) > 0, F.xxhash64(kept))]
+    hashes, levels = [F.when(F.size(kept) > 0, F.xxhash64(kept))], {}
     for i, (one_in, number) in enumerate(SUBSETS):
+        drawn = F.transform(kept, _draw(i, one_in))
+        levels[f"_level{i}"] = F.filter(drawn, _below(number))
         for s in range(number):
-            subset = F.transform(F.filter("_drawn", _draws(f"u{i}", 4 * s, one_in)), lambda x: x["h"])
+            subset = F.transform(F.filter(f"_level{i}", _is(s)), lambda x: x["h"])
             hashes.append(F.when(F.size(subset) > 0, F.xxhash64(subset)))
-    return df.withColumn("_drawn", drawn).withColumn(out, F.array(*hashes)).drop("_drawn")
+    return df.withColumns(levels).withColumn(out, F.array(*hashes)).drop(*levels)
+
+
+def _draw(seed: int, one_in: int):
+    return lambda h: F.struct(h.alias("h"), F.xxhash64(h, F.lit(seed)).bitwiseAND(F.lit(one_in - 1)).alias("s"))
+
+
+def _below(number: int):
+    return lambda x: x["s"] < number
+
+
+def _is(number: int):
+    return lambda x: x["s"] == number
 
 
 def fingerprints(df: DataFrame, lexicon: Lexicon, text_col: str = "text", out: str = "signature") -> DataFrame:
