@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, extraction, imatch, neighbours, nnpu, partenum, secret_scan, string_kernel
+from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, partenum, secret_scan, string_kernel
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op6_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items that they hold."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page; length in code points."""
@@ -115,6 +121,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.tokenise(table(spark, sf_dir, "documents"), byte_bpe_path()))
 
 
+@query
+def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under the network fitted on the whole table."""
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
 def token_digests(tokens: DataFrame) -> DataFrame:
     return tokens.select(
         "doc_id",
