@@ -22,6 +22,15 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Tables of ids or keys (8 to 40 bytes a row) are broadcast up to this number of rows; beyond it they are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast where it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def training_fold(doc_id: Column) -> Column:
     """True for rows whose labels may be learnt: crc32 of the id as text, modulo 3, is not 1. A null id is never used."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 != 1, F.lit(False))

@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fieldbook.llm.common import map_batches
 
@@ -169,4 +170,4 @@ def extract_pages(df: DataFrame, html_col: str = "html", keep: Sequence[str] = (
         return {**{name: batch.column(i) for i, name in enumerate(keep, 1)}, out: texts}
 
     schema = ", ".join([*(f"`{name}` {kinds[name]}" for name in keep), f"`{out}` string"])
-    return map_batches(df.select(html_col, *keep), schema, run)
+    return map_batches(df.select(F.col(html_col).alias("_text"), *keep), schema, run)

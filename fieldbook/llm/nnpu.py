@@ -208,4 +208,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
         return {**{name: batch.column(i) for i, name in enumerate(keep, 1)}, "score": values.astype(float)}
 
     schema = ", ".join([*(f"`{name}` {kinds[name]}" for name in keep), "score double"])
-    return map_batches(df.select(text_col, *keep), schema, run)
+    return map_batches(df.select(F.col(text_col).alias("_text"), *keep), schema, run)

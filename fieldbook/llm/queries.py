@@ -128,10 +128,11 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score(docs, masked_lm.train(docs))
 
 
-def token_digests(tokens: DataFrame) -> DataFrame:
+def token_digests(tokens: DataFrame, *more: str) -> DataFrame:
     return tokens.select(
         "doc_id",
         "n_tokens",
+        *more,
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )

@@ -54,6 +54,7 @@ def scan(df: DataFrame, id_col: str, text_col: str, owner: Column, repository: C
     rows = df.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(id_col).alias("_id"),
+        F.xxhash64(text).alias("_text_hash"),
         F.coalesce(owner.cast("string"), F.lit("")).alias("_owner"),
         F.coalesce(repository.cast("string"), F.lit("")).alias("_repository"),
         *[_found(text, n).alias(f"_{kind}") for n, (kind, _, _) in enumerate(KINDS)],
@@ -93,7 +94,7 @@ def find_secrets(
 ) -> DataFrame:
     """Candidates of every whole text and what the corpus says about them.
 
-    Returns one row per row of ``df``: id_col; ``found``, an array of (start, rank, end, kind, key, n_owners, n_repositories,
+    Returns one row per row of ``df``: id_col; ``text_hash``, which tells apart texts under one id; ``found``, an array of (start, rank, end, kind, key, n_owners, n_repositories,
     judged) ordered by start and kind, where ``judged`` is ``example`` for a value that ``example_owners`` or more owners hold,
     ``live`` for a varied value of one owner, and ``plain`` otherwise. A live candidate adds an entry of kind ``live`` that
     covers its value alone. A repository is (owner, repository). Null texts are empty and have no candidates; a null owner or
@@ -122,11 +123,22 @@ def find_secrets(
     for kind, _, _ in KINDS:
         some = some | F.col(f"_{kind}").isNotNull()
     empty = F.array().cast(by_row.schema["found"].dataType)
-    with_some = scanned.where(some).join(by_row, "_row", "left").select(F.col("_id").alias(id_col), F.coalesce("found", empty).alias("found"))
-    without = scanned.where(~some).select(F.col("_id").alias(id_col), empty.alias("found"))
+    with_some = scanned.where(some).join(by_row, "_row", "left").select(F.col("_id").alias(id_col), F.col("_text_hash").alias("text_hash"), F.coalesce("found", empty).alias("found"))
+    without = scanned.where(~some).select(F.col("_id").alias(id_col), F.col("_text_hash").alias("text_hash"), empty.alias("found"))
     return with_some.unionByName(without)
 
 
+def masked(text: Column, found: Column) -> Column:
+    """The text with stars in place of its live values; positions stay."""
+    live = F.filter(found, lambda x: x["kind"] == LIVE)
+    cover = lambda t, x: F.concat(
+        F.substring(t, F.lit(1), x["start"].cast("int")),
+        F.repeat(F.lit("*"), (x["end"] - x["start"]).cast("int")),
+        F.substring(t, (x["end"] + 1).cast("int"), F.length(t)),
+    )
+    return F.aggregate(live, text, cover)
+
+
 def listed(found: Column, base_only: bool = False) -> Column:
     """kind:start:end of each entry, comma-joined."""
     entries = F.filter(found, lambda x: x["rank"] < len(KINDS)) if base_only else found

@@ -356,4 +356,4 @@ def score(df: DataFrame, machine: Machine, text_col: str = "text", keep: tuple[s
         return {**{name: batch.column(i) for i, name in enumerate(keep, 1)}, "score": own.score(own.worst(batch.column(0)))}
 
     schema = ", ".join([*(f"`{name}` {kinds[name]}" for name in keep), "score double"])
-    return map_batches(df.select(text_col, *keep), schema, run)
+    return map_batches(df.select(F.col(text_col).alias("_text"), *keep), schema, run)
