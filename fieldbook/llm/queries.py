@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, partenum, secret_scan, string_kernel
+from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, partenum, secret_scan, string_kernel, suffix_dedup
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,19 @@ def op4_nnpu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 100 bytes leave of every document."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op6_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the training folds alone are learnt."""
