@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -73,6 +74,23 @@ def ring_from_geojson(text: Column) -> Column:
     return F.when((parsed["type"] == "Polygon") & (F.size(outer) >= 3), ring)
 
 
+def geometry_to_wkt(text: Column) -> Column:
+    """WKT of a GeoJSON Polygon or MultiPolygon with all its rings; any other geometry is NULL.
+
+    Ordinates after the second are left out. A ring with fewer than three points makes the whole geometry NULL.
+    """
+    points = lambda ring: F.array_join(F.transform(ring, lambda p: F.concat_ws(" ", F.get(p, F.lit(0)).cast("string"), F.get(p, F.lit(1)).cast("string"))), ", ")
+    shape = lambda rings: F.concat(F.lit("("), F.array_join(F.transform(rings, lambda r: F.concat(F.lit("("), points(r), F.lit(")"))), ", "), F.lit(")"))
+    whole = lambda rings: (F.size(rings) > 0) & F.forall(rings, lambda r: (F.size(r) >= 3) & F.forall(r, lambda p: F.get(p, F.lit(1)).isNotNull()))
+    kind = F.get_json_object(text, "$.type")
+    one = F.from_json(text, "coordinates array<array<array<double>>>", {"mode": "PERMISSIVE"})["coordinates"]
+    many = F.from_json(text, "coordinates array<array<array<array<double>>>>", {"mode": "PERMISSIVE"})["coordinates"]
+    return F.when((kind == "Polygon") & whole(one), F.concat(F.lit("POLYGON"), shape(one))).when(
+        (kind == "MultiPolygon") & (F.size(many) > 0) & F.forall(many, whole),
+        F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(many, shape), ", "), F.lit(")")),
+    )
+
+
 def ring_to_wkt(ring: Column) -> Column:
     points = F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
     return F.when(F.size(ring) >= 3, F.concat(F.lit("POLYGON(("), F.array_join(points, ", "), F.lit("))")))
@@ -146,25 +164,43 @@ def ring_box(ring: Column) -> Column:
 
 
 Point = tuple[float, float]
+#: A ring and its part in the geometry: 1 for an outer ring, -1 for a hole.
+Signed = tuple[int, tuple[Point, ...]]
 
+_HEAD = re.compile(r"\s*(MULTI)?POLYGON\s*(?:Z|M|ZM)?\s*(?=\()", re.IGNORECASE)
+_RING = re.compile(r"\(([^()]*)\)")
+_POLYGON = re.compile(r"\(\s*((?:\([^()]*\)\s*,?\s*)+)\)")
 
-@functools.lru_cache(maxsize=20000)
-def _parse(wkt: str | None) -> tuple[Point, ...] | None:
-    """Outer ring of a WKT polygon without the closing point; None when it does not parse."""
-    if wkt is None:
+
+def _ring(text: str) -> tuple[Point, ...] | None:
+    """Points of a ring without the closing one and without repeats of the point before; further ordinates are left out."""
+    points = [tuple(map(float, p.split())) for p in text.split(",")]
+    if any(not 2 <= len(p) <= 4 for p in points):
         return None
-    head, _, rest = wkt.partition("((")
-    if head.strip().upper() != "POLYGON":
+    ring = [p[:2] for i, p in enumerate(points) if i == 0 or p[:2] != points[i - 1][:2]]
+    if len(ring) > 1 and ring[0] == ring[-1]:
+        ring.pop()
+    return tuple(ring) if len(ring) >= 3 else None
+
+
+@functools.lru_cache(maxsize=20000)
+def _parse(wkt: str | None) -> tuple[Signed, ...] | None:
+    """Rings of a WKT polygon or multipolygon; None when any part of it does not parse."""
+    head = _HEAD.match(wkt or "")
+    if head is None:
         return None
+    body = wkt[head.end() :].strip()
+    polygons = _POLYGON.findall(body[1:-1] if head[1] else body)
+    out: list[Signed] = []
     try:
-        ring = [tuple(map(float, p.split())) for p in rest.split(")")[0].split(",")]
+        for polygon in polygons:
+            rings = [_ring(r) for r in _RING.findall(polygon)]
+            if not rings or None in rings:
+                return None
+            out += [(1 if n == 0 else -1, r) for n, r in enumerate(rings)]
     except ValueError:
         return None
-    if any(len(p) != 2 for p in ring):
-        return None
-    if len(ring) > 1 and ring[0] == ring[-1]:
-        ring.pop()
-    return tuple(ring) if len(ring) >= 3 else None
+    return tuple(out) or None
 
 
 def _cross(o: Point, a: Point, b: Point) -> float:
@@ -194,26 +230,29 @@ def _centre(ring: Sequence[Point]) -> Point:
 
 
 @functools.lru_cache(maxsize=20000)
-def _convex_pieces(ring: tuple[Point, ...]) -> list[list[Point]]:
-    """The ring itself when convex, else triangles cut off ear by ear (simple rings)."""
-    left = list(ring) if _twice_area(ring) >= 0 else list(ring[::-1])
+def _convex_pieces(ring: tuple[Point, ...]) -> list[tuple[int, list[Point]]]:
+    """The ring itself when convex, else the triangles from its first point to each side.
+
+    Triangles that turn against the ring count as negative, so that the signed pieces add up to any simple ring, concave or not.
+    """
+    turned = _twice_area(ring) >= 0
+    around = list(ring) if turned else list(ring[::-1])
+    turns = [_cross(around[i - 2], around[i - 1], around[i]) for i in range(len(around))]
+    if min(turns) >= 0 and _once_around(around):
+        return [(1, around)]
     pieces = []
-    while len(left) > 3:
-        n = len(left)
-        turns = [_cross(left[i - 1], left[i], left[(i + 1) % n]) for i in range(n)]
-        if min(turns) >= 0:
-            break
-        for i in range(n):
-            a, b, c = left[i - 1], left[i], left[(i + 1) % n]
-            if turns[i] > 0 and not any(
-                _cross(a, b, p) > 0 and _cross(b, c, p) > 0 and _cross(c, a, p) > 0 for p in left if p not in (a, b, c)
-            ):
-                pieces.append([a, b, c])
-                del left[i]
-                break
-        else:
-            break
-    return [*pieces, left]
+    for a, b in zip(around[1:], around[2:]):
+        area = _cross(around[0], a, b)
+        if area:
+            pieces.append((1, [around[0], a, b]) if area > 0 else (-1, [around[0], b, a]))
+    return pieces
+
+
+def _once_around(ring: Sequence[Point]) -> bool:
+    """A ring that only turns left is convex if its directions go round once."""
+    sides = [(q[0] - p[0], q[1] - p[1]) for p, q in zip(ring, [*ring[1:], ring[0]])]
+    half = [(y < 0) or (y == 0 and x < 0) for x, y in sides]
+    return sum(a != b for a, b in zip(half, [*half[1:], half[0]])) <= 2
 
 
 def _clip(subject: Sequence[Point], window: Sequence[Point]) -> list[Point] | None:
@@ -241,51 +280,60 @@ def _double_fields(names: str) -> list[T.StructField]:
 
 
 RING_FACTS = T.StructType(_double_fields("x0 y0 x1 y1 area mercator_area mercator_x mercator_y"))
-OVERLAP = T.StructType(
-    [T.StructField("pieces", T.ArrayType(T.ArrayType(T.DoubleType()))), *_double_fields("area mercator_area")]
-)
+OVERLAP = T.StructType(_double_fields("area mercator_area"))
 
 
 @F.pandas_udf(RING_FACTS)
 def _ring_facts_udf(wkt: pd.Series) -> pd.DataFrame:
     rows = []
     for text in wkt:
-        ring = _parse(text)
-        if ring is None:
+        rings = _parse(text)
+        if rings is None:
             rows.append((None,) * 8)
             continue
-        flat = _to_mercator(ring)
+        flat = [(sign, _to_mercator(ring)) for sign, ring in rings]
+        shares = [sign * abs(_twice_area(ring)) / 2 for sign, ring in flat]
+        centres, total = [_centre(ring) for _, ring in flat], sum(shares)
+        x, y = (sum(w * c[i] for w, c in zip(shares, centres)) / total if total and len(flat) > 1 else centres[0][i] for i in (0, 1))
+        points = [p for sign, ring in rings if sign > 0 for p in ring]
         rows.append(
             (
-                min(x for x, _ in ring), min(y for _, y in ring), max(x for x, _ in ring), max(y for _, y in ring),
-                abs(_twice_area(ring)) / 2, abs(_twice_area(flat)) / 2, *_centre(flat),
+                min(x for x, _ in points), min(y for _, y in points), max(x for x, _ in points), max(y for _, y in points),
+                sum(sign * abs(_twice_area(ring)) / 2 for sign, ring in rings), total, x, y,
             )
         )
     return pd.DataFrame(rows, columns=RING_FACTS.names)
 
 
+def _common(a: Signed, b: Signed) -> tuple[float, float]:
+    """Signed common area of two rings, in square degrees and square mercator metres."""
+    (sign_a, ring_a), (sign_b, ring_b) = a, b
+    pieces, subject = _convex_pieces(ring_b), ring_a
+    if len(pieces) > 1 and len(own := _convex_pieces(ring_a)) < len(pieces):
+        pieces, subject = own, ring_b
+    found = [(sign, part) for sign, piece in pieces if (part := _clip(subject, piece)) is not None]
+    area = sum(sign * abs(_twice_area(part)) / 2 for sign, part in found)
+    return sign_a * sign_b * area, sign_a * sign_b * sum(sign * abs(_twice_area(_to_mercator(part))) / 2 for sign, part in found)
+
+
+def _apart(a: Sequence[Point], b: Sequence[Point]) -> bool:
+    return any(max(p[i] for p in x) <= min(p[i] for p in y) for i in (0, 1) for x, y in ((a, b), (b, a)))
+
+
 @F.pandas_udf(OVERLAP)
 def _overlap_udf(subject: pd.Series, other: pd.Series) -> pd.DataFrame:
     rows = []
     for s, o in zip(subject, other):
-        a, b = _parse(s), _parse(o)
-        found = [] if a is None or b is None else [_clip(a, piece) for piece in _convex_pieces(b)]
-        found = [f for f in found if f is not None]
-        rows.append(
-            (
-                [[v for p in f for v in p] for f in found],
-                sum(abs(_twice_area(f)) / 2 for f in found),
-                sum(abs(_twice_area(_to_mercator(f))) / 2 for f in found),
-            )
-        )
+        pairs = [_common(a, b) for a in _parse(s) or () for b in _parse(o) or () if not _apart(a[1], b[1])]
+        rows.append((sum(p[0] for p in pairs), sum(p[1] for p in pairs)))
     return pd.DataFrame(rows, columns=OVERLAP.names)
 
 
 def ring_facts(wkt: Column) -> Column:
-    """struct of bounding box, areas (square degrees, square mercator metres) and mercator centroid."""
+    """struct of bounding box, areas (square degrees, square mercator metres) and mercator centroid; holes count as missing."""
     return _ring_facts_udf.asNondeterministic()(wkt)
 
 
 def overlap(subject_wkt: Column, other_wkt: Column) -> Column:
-    """struct of the common area: its pieces (flat coordinates) and their areas; exact for simple rings."""
+    """struct of the common area of polygons or multipolygons with holes, in square degrees and square mercator metres."""
     return _overlap_udf.asNondeterministic()(subject_wkt, other_wkt)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.functions.geo import ring_from_geojson, ring_to_wkt
+from fieldbook.functions.geo import geometry_to_wkt
 from fieldbook.functions.values import first_match, surrogate_key, text_or, within
 from fieldbook.operators.ranking import latest_by
 
@@ -130,7 +130,7 @@ def curate_parcels(staged: DataFrame, as_of: dt.datetime | None = None) -> DataF
             "owner_name": text_or("owner_name", "Owner Not Available"),
             "property_type": text_or("property_type", "Unknown"),
             "land_use_description": text_or("land_use_description", "Unknown"),
-            "parcel_wkt": ring_to_wkt(ring_from_geojson(F.col("geometry_json"))),
+            "parcel_wkt": geometry_to_wkt(F.col("geometry_json")),
             "source_ingestion_timestamp": F.col("ingestion_timestamp"),
             "source_processed_timestamp": F.col("processed_at"),
             "created_at": now,

@@ -266,7 +266,7 @@ def _units(spark, sf):
 
 def _metrics(spark, sf):
     pairs = spatial.overlap_pairs(_parcel_squares(spark, sf), _units(spark, sf), "parcel_id", "mukey", 0.5)
-    return pairs.drop("overlap_pieces")
+    return pairs
 
 
 @query("j06_soil_overlap", f"""WITH {SQUARES} SELECT parcel_id, mukey, round(overlap_ratio + 1e-9, 5) AS overlap_ratio, round(intersection_acres, 2) AS intersection_acres,

@@ -17,15 +17,15 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and for the bench; a cluster brings its own."""
+def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session for tests and for the bench, with ``shared`` as its checkpoint folder; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("fieldbook")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **({"spark.checkpoint.dir": shared} if shared else {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

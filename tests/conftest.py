@@ -9,8 +9,8 @@ from fieldbook.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, partitions=4, memory="12g")
+def spark(tmp_path_factory):
+    session = local_session(8, partitions=4, memory="12g", shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
