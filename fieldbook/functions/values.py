@@ -142,3 +142,8 @@ def bare_county(c: Column) -> Column:
 def hashed_fraction(*keys: Column) -> Column:
     """A reproducible number in [0, 1) from row keys, in place of a random draw."""
     return F.pmod(F.xxhash64(*keys), F.lit(1000)) / 1000.0
+
+
+def text_bucket(text: Column, n: int) -> Column:
+    """A number below ``n`` from the md5 of a text: the same on any engine."""
+    return F.pmod(F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 12), 16, 10).cast("bigint"), F.lit(n)).cast("int")

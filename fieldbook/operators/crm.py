@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import (
-    is_business_mail, mail_domain, mapped, null_if_token, right_closed_bin, share_filled, whole_days,
+    is_business_mail, mail_domain, mapped, null_if_token, right_closed_bin, share_filled, text_bucket, whole_days,
 )
 from fieldbook.operators.ranking import latest_by, quantile_or_width_bucket, quantile_values, with_group_size
 from fieldbook.session import cut_lineage
@@ -151,7 +151,7 @@ def owner_summary(deals: DataFrame) -> DataFrame:
 
 def owner_of_company(company: Column, owners: Sequence[str]) -> Column:
     """A stable owner for contacts without one, from the company name; the first owner without a name."""
-    bucket = F.pmod(F.crc32(F.lower(company)), F.lit(len(owners))).cast("int")
+    bucket = text_bucket(F.lower(company), len(owners))
     return F.when(company.isNull(), owners[0]).otherwise(F.get(F.array(*[F.lit(o) for o in owners]), bucket))
 
 
@@ -408,7 +408,7 @@ def revenue_forecast(deals: DataFrame, as_of: dt.datetime, months: int = 6, conf
 
 def fallback_forecast(deals: DataFrame, as_of: dt.datetime, months: int = 6) -> DataFrame:
     """Without predictions: deals are dealt evenly over the months by a hash of their id, at a 30 % close rate."""
-    slot = F.pmod(F.xxhash64("deal_id"), F.lit(months)).cast("int")
+    slot = text_bucket(F.col("deal_id").cast("string"), months)
     first = dt.date(as_of.year, as_of.month, 1)
     per = deals.groupBy(F.add_months(F.lit(first), slot).alias("month")).agg(
         (F.sum("amount") * 0.3).alias("forecasted_revenue"), F.count(F.lit(1)).alias("deal_count"),

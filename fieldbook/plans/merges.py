@@ -41,10 +41,11 @@ def assign_stations(parcels: DataFrame, stations: DataFrame, climate: DataFrame)
 
 
 def map_overlays(parcels: DataFrame, overlays: dict[str, DataFrame], key: str = "parcel_id") -> DataFrame:
-    """One nested record per parcel: a struct per overlay table, null where the overlay has no row."""
+    """One nested record per parcel: per overlay table an array of all its rows for the parcel, ordered, empty where it has none."""
     out = parcels
     for name, rows in overlays.items():
         fields = [c for c in rows.columns if c != key]
-        one = rows.groupBy(key).agg(F.min(F.struct(*fields)).alias(name))
-        out = out.join(one, key, "left")
+        every = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+        none = F.array().cast(every.schema[name].dataType)
+        out = out.join(every, key, "left").withColumn(name, F.coalesce(name, none))
     return out

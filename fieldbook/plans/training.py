@@ -61,12 +61,15 @@ def deal_models(deals: DataFrame, kind: str = "random_forest", trees: int = 100)
 
 
 def score_deals(fitted: dict[str, models.Trained], deals: DataFrame) -> DataFrame:
-    """Closure probability and class, revenue, days to close and close date of each deal."""
+    """Closure probability and class, revenue, days to close and close date of each deal.
+
+    Each model's result is stored before the next one runs, so that a stage holds one model.
+    """
     extra = ["features", "assembled", "rawPrediction", "probability", "prediction"]
     drop = lambda df: df.drop(*extra, *[c for c in df.columns if c.endswith(("_filled", "_index", "_hot", "_code"))])
-    out = drop(models.positive_probability(fitted["closure"].transform(deals), "closure_probability"))
-    out = drop(fitted["revenue"].transform(out).withColumn("predicted_revenue", F.col("prediction")))
-    out = drop(fitted["time_to_close"].transform(out).withColumn("predicted_days", F.col("prediction")))
+    out = cut_lineage(drop(models.positive_probability(fitted["closure"].transform(deals), "closure_probability")))
+    out = cut_lineage(drop(fitted["revenue"].transform(out).withColumn("predicted_revenue", F.col("prediction"))))
+    out = cut_lineage(drop(fitted["time_to_close"].transform(out).withColumn("predicted_days", F.col("prediction"))))
     return models.close_dates(out.withColumn("closure_likelihood", reports.score_category(F.col("closure_probability"))))
 
 

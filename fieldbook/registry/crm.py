@@ -58,7 +58,8 @@ def j16(spark, sf):
     return out.select("contact_id", "owner_id", "total_deals", "max_deal_value")
 
 
-@query("j16_hashed_owner")
+@query("j16_hashed_owner", """WITH c AS (SELECT CASE WHEN company IS NULL THEN 'owner_0' ELSE 'owner_' || (CAST('0x' || substr(md5(lower(company)), 1, 12) AS BIGINT) % 6) END AS owner_id FROM contacts),
+ s AS (SELECT owner_id, count(*) AS n FROM deals GROUP BY 1) SELECT owner_id, CAST(coalesce(n, 0) AS BIGINT) AS total_deals, count(*) AS contacts FROM c LEFT JOIN s USING (owner_id) GROUP BY 1, 2""", "contacts deals")
 def j16_hashed(spark, sf):
     owners = [f"owner_{i}" for i in range(6)]
     contacts = table(spark, sf, "contacts").withColumn("owner_id", crm.owner_of_company(F.col("company"), owners))
@@ -415,9 +416,13 @@ def a24(spark, sf):
     return out.withColumns({c: F.round(c, 2) for c in r2} | {"month": F.date_format("month", "yyyy-MM")})
 
 
-@query("a24_fallback_forecast")
+@query("a24_fallback_forecast", f"""WITH {DEALS}, s AS (SELECT amount, CAST(DATE '2001-07-01' + to_months(CAST(CAST('0x' || substr(md5(CAST(deal_id AS VARCHAR)), 1, 12) AS BIGINT) % 6 AS INTEGER)) AS DATE) AS month
+  FROM f WHERE NOT is_closed), g AS (SELECT month, sum(amount) * 0.3 AS r, count(*) AS n, avg(amount) AS a FROM s GROUP BY 1)
+SELECT month, round(r, 2) AS forecasted_revenue, n AS deal_count, round(a, 4) AS avg_deal_size, round(r * 0.7, 2) AS lower_bound, round(r * 1.3, 2) AS upper_bound FROM g""", "deals")
 def a24_fallback(spark, sf):
-    return crm.fallback_forecast(_deals(spark, sf).where("NOT is_closed"), dt.datetime(2001, 7, 15))
+    out = crm.fallback_forecast(_deals(spark, sf).where("NOT is_closed"), dt.datetime(2001, 7, 15))
+    digits = {"forecasted_revenue": 2, "avg_deal_size": 4, "lower_bound": 2, "upper_bound": 2}
+    return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 # Qualification and recommendations --------------------------------------------------------------

@@ -311,8 +311,9 @@ def seed01(spark, sf):
     return rows.join(seed, "county_fips").groupBy("state_name").agg(F.count(F.lit(1)).alias("customers"))
 
 
-@query("r17_map_overlays", """SELECT p.parcel_id, s.code AS soil_code, f.zone AS flood_zone FROM parcels p LEFT JOIN (SELECT 'P' || l_partkey AS parcel_id, min(l_linenumber) AS code FROM lineitem GROUP BY 1) s USING (parcel_id)
-LEFT JOIN (SELECT 'P' || o_custkey AS parcel_id, min(o_orderpriority) AS zone FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) f USING (parcel_id)""", "parcels")
+@query("r17_map_overlays", """SELECT p.parcel_id, coalesce(s.codes, '') AS soil_codes, coalesce(f.zones, '') AS flood_zones FROM parcels p
+LEFT JOIN (SELECT 'P' || l_partkey AS parcel_id, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS codes FROM lineitem GROUP BY 1) s USING (parcel_id)
+LEFT JOIN (SELECT 'P' || o_custkey AS parcel_id, string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) AS zones FROM orders GROUP BY 1) f USING (parcel_id)""", "parcels")
 def r17(spark, sf):
     def keyed(df, col, *fields):
         return df.select(F.concat(F.lit("P"), F.col(col).cast("string")).alias("parcel_id"), *fields)
@@ -321,10 +322,11 @@ def r17(spark, sf):
         table(spark, sf, "parcels").select("parcel_id"),
         {
             "soil": keyed(base(spark, sf, "lineitem"), "l_partkey", F.col("l_linenumber").alias("code")),
-            "flood": keyed(base(spark, sf, "orders").where("o_orderstatus = 'F'"), "o_custkey", F.col("o_orderpriority").alias("zone")),
+            "flood": keyed(base(spark, sf, "orders"), "o_custkey", F.col("o_orderpriority").alias("zone")),
         },
     )
-    return out.select("parcel_id", F.col("soil.code").alias("soil_code"), F.col("flood.zone").alias("flood_zone"))
+    codes = F.transform("soil.code", lambda c: c.cast("string"))
+    return out.select("parcel_id", F.array_join(codes, ",").alias("soil_codes"), F.array_join("flood.zone", ",").alias("flood_zones"))
 
 
 # Streams ----------------------------------------------------------------------------------------

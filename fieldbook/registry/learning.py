@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fieldbook.operators import clustering, crm, models, reports
 from fieldbook.plans import training
 from fieldbook.registry import query
-from fieldbook.registry.crm import _deals, _leads
+from fieldbook.registry.crm import LEADS, T, _deals, _leads
 from fieldbook.session import cut_lineage, new_folder
 
 AS_OF = dt.datetime(2002, 1, 1)
@@ -45,7 +45,8 @@ def ml04(spark, sf):
     return out.select("contact_id", F.size(vector_to_array("features")).alias("features"))
 
 
-@query("ml05_stratified_split")
+@query("ml05_stratified_split", f"""WITH {LEADS}, l AS (SELECT contact_id, CASE WHEN lower(lifecyclestage) IN ('customer', 'opportunity') THEN 1 ELSE 0 END AS converted FROM features)
+SELECT CASE WHEN CAST('0x' || substr(md5('42|' || converted || '|' || contact_id), 1, 12) AS BIGINT) % 10000 < 2000 THEN 'test' ELSE 'train' END AS side, converted, count(*) AS rows FROM l GROUP BY 1, 2""", T)
 def ml05(spark, sf):
     train, test = models.split_by_hash(_lead_frame(spark, sf), "contact_id", "converted")
     both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
@@ -96,7 +97,7 @@ def ml12(spark, sf):
 @query("ml14_kmeans")
 def ml14(spark, sf):
     """Chosen k, then k-means on the principal components (also ML-17)."""
-    _, _, labelled = training.segment(_segment_frame(spark, sf), most=6)
+    _, _, labelled = training.segment(_segment_frame(spark, sf))
     return clustering.quality(cut_lineage(labelled))
 
 
@@ -111,7 +112,7 @@ def ml15(spark, sf):
 def ml16(spark, sf):
     frame = _segment_frame(spark, sf)
     _, points = clustering.reduce_features(frame, clustering.varied_features(frame))
-    _, labelled = clustering.hierarchical(cut_lineage(points), 4)
+    _, labelled = clustering.hierarchical(cut_lineage(points), 5)
     return clustering.named(labelled).groupBy("cluster", "cluster_name").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -386,15 +386,13 @@ def j09(spark, sf):
 
 
 @query("t04_soil_order", f"""WITH {SOIL} SELECT parcel_id, mukey, round(coverage_percent, 3) AS coverage_percent, CAST(pct AS BIGINT) AS component_percentage FROM scored
-ORDER BY round(coverage_percent, 3) DESC, component_percentage DESC, parcel_id, mukey LIMIT 100""", "parcels")
+ORDER BY round(coverage_percent, 3) DESC, component_percentage DESC, parcel_id, mukey""", "parcels")
 def t04(spark, sf):
-    from fieldbook.operators.ranking import top_n
-
     mapunits, components, _ = _soil_tables(spark, sf)
     out = soil.attach_components(_metrics(spark, sf), mapunits, components).select(
         "parcel_id", "mukey", F.round("coverage_percent", 3).alias("coverage_percent"), "component_percentage"
     )
-    return top_n(out, [F.desc("coverage_percent"), F.desc("component_percentage"), F.col("parcel_id"), F.col("mukey")], 100)
+    return out.orderBy(F.desc("coverage_percent"), F.desc("component_percentage"), "parcel_id", "mukey")
 
 
 @query("g13_soil_classes", """
