@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import first_match
+from fieldbook.operators.spatial import nearest
 
 # Whether parcels of a source are enriched without being asked.
 AUTO_ENRICH = {"s3_ingestion": True, "api_ingestion": False, "bulk_ingestion": True}
@@ -29,21 +30,23 @@ def plain_address(c: Column) -> Column:
     return F.regexp_replace(F.upper(F.trim(c)), r"[^A-Z0-9]+", " ")
 
 
-def lookup(requests: DataFrame, profile: DataFrame) -> DataFrame:
-    """The parcel each request asks for, by id or by normalised address; unmatched requests stay.
+def lookup(requests: DataFrame, profile: DataFrame, key: str) -> DataFrame:
+    """The parcel each request asks for, by id, by normalised address, or the nearest one to its coordinates; unmatched requests stay.
 
-    Coordinate requests are answered by :func:`fieldbook.operators.spatial.nearest`.
+    ``key`` identifies a request. Each kind of request meets the profile on its own, so that no join holds the others under one
+    null key.
     """
-    by_id = profile.select(F.col("parcel_id").alias("_id"), F.col("parcel_id").alias("found_by_id"))
-    by_address = profile.groupBy(plain_address(F.col("address")).alias("_address")).agg(F.min("parcel_id").alias("found_by_address"))
+    by_id = profile.select(F.col("parcel_id").alias("_id"), F.col("parcel_id").alias("found"))
+    by_address = profile.groupBy(plain_address(F.col("address")).alias("_address")).agg(F.min("parcel_id").alias("found"))
     kind = F.col("query_type")
-    keyed = requests.withColumns(
-        {"_rid": F.when(kind == "parcel_id", F.trim("parcel_id")), "_radr": F.when(kind == "address", plain_address(F.col("address")))}
-    )
-    out = keyed.join(by_id, F.col("_rid") == F.col("_id"), "left").join(by_address, F.col("_radr") == F.col("_address"), "left")
-    return out.withColumn("found", F.coalesce("found_by_id", "found_by_address")).drop(
-        "_rid", "_radr", "_id", "_address", "found_by_id", "found_by_address"
-    )
+    named = requests.where(kind == "parcel_id").join(by_id, F.trim("parcel_id") == F.col("_id"), "left").drop("_id")
+    at_address = requests.where(kind == "address").join(by_address, plain_address(F.col("address")) == F.col("_address"), "left").drop("_address")
+    placed = requests.where(kind == "coordinates")
+    asked = placed.select(key, repaired_point(F.col("coordinates")).alias("_p")).select(key, "_p.*")
+    places = profile.select(F.col("parcel_id").alias("found"), "latitude", "longitude")
+    near = nearest(asked, places, key, "found").select(key, "found")
+    others = requests.where(~kind.isin("parcel_id", "address", "coordinates")).withColumn("found", F.lit(None).cast("string"))
+    return named.unionByName(at_address).unionByName(placed.join(near, key, "left")).unionByName(others)
 
 
 def parcel_of_cache_key(key: Column) -> Column:
@@ -92,7 +95,7 @@ def event_parcels(event: Column) -> Column:
 
 
 def should_enrich(explicit: Column, source: Column) -> Column:
-    """An explicit wish wins; otherwise the source's default, and no for unknown sources."""
+    """Yes for an explicit wish or for sources that enrich unasked; an explicit no does not hold those back. No for unknown sources."""
     default = F.lit(False)
     for name, value in AUTO_ENRICH.items():
         default = F.when(source == name, value).otherwise(default)

@@ -62,13 +62,17 @@ def fan_out(df: DataFrame, routes: dict[str, Column], root: str, checkpoint: str
 
 
 def hourly_quota(events: DataFrame, ts: str, key: str, limit: int = 1000, late: str = "2 hours") -> DataFrame:
-    """Requests per key and hour, flagged from the limit on; an hour closes when it is ``late`` old."""
+    """Requests per key and hour, flagged from the limit on.
+
+    In update mode the open hour is counted as requests arrive, so a limit acts at once; in append mode an hour comes once, when
+    it is ``late`` old.
+    """
     counts = events.withWatermark(ts, late).groupBy(F.window(ts, "1 hour"), key).agg(F.count(F.lit(1)).alias("requests"))
     return counts.select(F.col("window.start").alias("hour"), key, "requests", (F.col("requests") >= limit).alias("exhausted"))
 
 
-def stream_upsert(changes: DataFrame, root: str, keys: Sequence[str], newest: Sequence[str], checkpoint: str, **kw) -> StreamingQuery:
-    """Merge each micro-batch into a table; repeating a batch gives the same table.
+def stream_upsert(changes: DataFrame, root: str, keys: Sequence[str], newest: Sequence[str], checkpoint: str, mode: str = "append", **kw) -> StreamingQuery:
+    """Merge each micro-batch into a table; repeating a batch gives the same table. ``mode`` is update for running counts.
 
     An older change that arrives late does not replace a newer row: existing rows of the touched keys
     compete with the batch by ``newest``.
@@ -83,7 +87,7 @@ def stream_upsert(changes: DataFrame, root: str, keys: Sequence[str], newest: Se
         touched = old.join(batch.select(*keys).distinct(), list(keys), "left_semi")
         replace_table(upsert(old, touched.unionByName(batch), keys, newest=newest), root)
 
-    return run(changes, lambda w: w.foreachBatch(write).start(), checkpoint, **kw)
+    return run(changes, lambda w: w.outputMode(mode).foreachBatch(write).start(), checkpoint, **kw)
 
 
 def route_errors(documents: DataFrame, good: str, bad: str, checkpoint: str, **kw) -> StreamingQuery:
@@ -91,8 +95,10 @@ def route_errors(documents: DataFrame, good: str, bad: str, checkpoint: str, **k
     marked = documents.withColumn("is_malformed", is_salvaged(parse_or_salvage(F.col("raw_data"))))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.where("NOT is_malformed").write.mode("overwrite").parquet(f"{good}/batch={number}")
-        batch.where("is_malformed").write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        read = batch.persist()  # parsed once for both tables
+        read.where("NOT is_malformed").write.mode("overwrite").parquet(f"{good}/batch={number}")
+        read.where("is_malformed").write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        read.unpersist()
 
     return run(marked, lambda w: w.foreachBatch(write).start(), checkpoint, **kw)
 
