@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, partenum, secret_scan, string_kernel, suffix_dedup
+from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, oracles, partenum, secret_scan, string_kernel, suffix_dedup
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_secret_scan": oracles.SECRETS, "op3_partenum_join": oracles.SIMILAR}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
