@@ -8,6 +8,7 @@ some item's threshold are searched. What the search returns is verified on quest
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,8 @@ PASSAGE, STEP = 96, 48
 LEAST_SCORE = 0.5
 #: Words of the runs that are verified, and the share of the runs of question and of answer that a document must hold.
 RUN, LEAST_OVERLAP = 5, 0.6
-#: Items in one shipped index, and in one block of postings.
-ITEMS, BLOCK = 2_000, 16
+#: Items in one shipped index, and in one block of postings: small blocks bound a passage's scores tightly.
+ITEMS, BLOCK = 500, 2
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -61,8 +62,8 @@ class Index:
 
     ids: list
     terms: np.ndarray
-    items: list[np.ndarray]
-    impacts: list[np.ndarray]
+    items: list[list[int]]
+    impacts: list[list[float]]
     block_best: np.ndarray
     questions: list[tuple[int, np.ndarray]]
     answers: list[tuple[int, np.ndarray]]
@@ -91,8 +92,8 @@ class Index:
         parts = [question_and_answer(t) for t in texts]
         runs = lambda some: [(min(RUN, len(w)), np.unique(shingles(w, RUN))) for w in words_of(some)]
         return cls(
-            [i for i, _ in rows], terms, [item[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-            [share[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], best, runs([p[0] for p in parts]), runs([p[1] for p in parts]),
+            [i for i, _ in rows], terms, [item[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+            [share[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], best, runs([p[0] for p in parts]), runs([p[1] for p in parts]),
         )
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
@@ -111,22 +112,22 @@ class Index:
                     break
             if pivot is None:
                 return found
-            item = int(self.items[cursors[pivot][1]][cursors[pivot][0]])
+            item = self.items[cursors[pivot][1]][cursors[pivot][0]]
             while pivot + 1 < len(cursors) and self.items[cursors[pivot + 1][1]][cursors[pivot + 1][0]] == item:
                 pivot += 1
             block = item // BLOCK
             if sum(float(self.block_best[t, block]) for _, t in cursors[: pivot + 1]) < 1 - 1e-6:
                 # no item up to the end of the block, nor before the next cursor, can reach its threshold
-                following = int(self.items[cursors[pivot + 1][1]][cursors[pivot + 1][0]]) if pivot + 1 < len(cursors) else 1 << 60
+                following = self.items[cursors[pivot + 1][1]][cursors[pivot + 1][0]] if pivot + 1 < len(cursors) else 1 << 60
                 to = min((block + 1) * BLOCK, max(following, item + 1))
                 for c in cursors[: pivot + 1]:
-                    c[0] = int(np.searchsorted(self.items[c[1]], to))
+                    c[0] = bisect_left(self.items[c[1]], to, c[0])
                 continue
             score = 0.0
             for c in cursors[: pivot + 1]:
-                c[0] = int(np.searchsorted(self.items[c[1]], item))
+                c[0] = bisect_left(self.items[c[1]], item, c[0])
                 if c[0] < len(self.items[c[1]]) and self.items[c[1]][c[0]] == item:
-                    score += float(self.impacts[c[1]][c[0]])
+                    score += self.impacts[c[1]][c[0]]
                     c[0] += 1
             if score >= 1 - 1e-6:
                 found.append((item, score))
