@@ -96,7 +96,7 @@ def base_spans(text):
     spans = []
     for k, (kind, pattern) in enumerate(KINDS):
         for m in pattern.finditer(text):
-            if (len(m[2]) >= 6, len(m[0]) >= 20, len(m[0]) >= 24)[k]:
+            if len(m[2 if k == 0 else 0]) >= (6, 20, 24)[k]:
                 spans.append((m.start(), k, m.end(), kind))
     return ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in sorted(spans))
 
