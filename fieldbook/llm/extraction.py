@@ -26,7 +26,8 @@ DROPPED = frozenset(
     "head title script style noscript template nav header footer aside form button select option textarea input dialog menu"
     " iframe object svg canvas audio video map figure figcaption".split()
 )
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that stand inside a line and whose own text is not read.
+SILENT = frozenset("script style template noscript svg canvas button select option textarea iframe object audio video map".split())
 HOLDERS = frozenset(("article", "main"))
 #: Words of class, id and role that mark what is not the article.
 SIDE_WORDS = frozenset(
@@ -47,7 +48,7 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, int, bool]] = []  # tag, number of the element, inside a dropped part
         self.lines: list[tuple[str, int, bool, tuple]] = []
         self.words: list[str] = []
-        self.tags = self.count = 0
+        self.tags = self.count = self.silent = 0
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
@@ -76,6 +77,10 @@ class Lines(HTMLParser):
             self.words.append(" ")
         if tag in VOID:
             return
+        if tag in SILENT:
+            self.silent += 1
+            self.stack.append((tag, 0, True))
+            return
         if tag not in INLINE:
             self.cut()
             if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
@@ -90,6 +95,7 @@ class Lines(HTMLParser):
     def leave(self, tag: str, stop: tuple = ()) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
+                self.silent -= sum(x[0] in SILENT for x in self.stack[at:])
                 del self.stack[at:]
                 return
             if self.stack[at][0] in stop:
@@ -99,7 +105,7 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.words.append(" ")
-        elif tag not in INLINE and tag not in VOID:
+        elif tag not in INLINE and tag not in VOID and tag not in SILENT:
             self.handle_starttag(tag, attrs)  # HTML ignores the slash
 
     def handle_endtag(self, tag):
@@ -108,6 +114,9 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.words.append(" ")
             return
+        if tag in SILENT:
+            self.leave(tag)
+            return
         side = bool(self.stack) and self.stack[-1][2]
         if tag not in INLINE:
             self.cut()
@@ -118,7 +127,7 @@ class Lines(HTMLParser):
         self.leave(tag, stop=("article", "main", "body", "nav", "footer", "aside") if tag in INLINE or tag == "p" else ())
 
     def handle_data(self, data):
-        if not self.stack or self.stack[-1][0] not in ("script", "style"):
+        if not self.silent:
             self.words.append(data)
 
 
