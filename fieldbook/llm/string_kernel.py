@@ -28,8 +28,10 @@ LANDMARKS, PLAIN_LANDMARKS, SHORTEST, LONGEST = 32, 8, 4, 12
 TOXIC, CLEAN = 4_000, 6_000
 #: Words longer than this are looked at through overlapping windows that cover them.
 WINDOW = 24
+#: Clean rows that a stem is taken to stand in besides those seen, so that stems of few rows are no landmarks by chance.
+UNSEEN = 2
 CACHE_ENTRIES = 1_500_000
-CHUNK = 2048
+CHUNK = 256
 
 CORE = np.zeros(256, bool)  # letters, digits and bytes above 127; a word starts and ends with one
 CORE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -39,23 +41,22 @@ def kernel(strings: np.ndarray, marks: np.ndarray, decay: float = DECAY, length:
     """Kernel of each row of ``strings`` (W, A; zeros pad) with each of its ``marks`` ((1 or W), M, J; 255 pads): (W, M)."""
     w, m, j = len(strings), marks.shape[1], marks.shape[2]
     carry = np.triu(np.float32(decay) ** np.maximum(0, np.arange(j)[None] - np.arange(j)[:, None]).astype(np.float32))
-    partial = [np.ones((w, m, j + 1), np.float32)] + [np.zeros((w, m, j + 1), np.float32) for _ in range(length - 1)]
+    # partial[i][..., c]: subsequences of i characters that end before character c of the landmark
+    partial = [np.ones((w, m, j), np.float32)] + [np.zeros((w, m, j), np.float32) for _ in range(length - 1)]
     out = np.zeros((w, m), np.float32)
     for a in range(strings.shape[1]):
-        same = (strings[:, a, None, None] == marks).astype(np.float32) * np.float32(decay * decay)
-        out += np.einsum("wmj,wmj->wm", same, partial[length - 1][:, :, :-1])
+        same = (strings[:, a, None, None] == marks) * np.float32(decay * decay)
+        out += np.einsum("wmj,wmj->wm", same, partial[length - 1])
         for i in range(length - 1, 0, -1):
-            partial[i][:, :, 1:] *= np.float32(decay)
-            partial[i][:, :, 1:] += (same * partial[i - 1][:, :, :-1]) @ carry
+            ended = ((same * partial[i - 1]).reshape(-1, j) @ carry).reshape(w, m, j)
+            partial[i] *= np.float32(decay)
+            partial[i][:, :, 1:] += ended[:, :, :-1]
     return out
 
 
 def padded(strings: list[bytes], fill: int) -> np.ndarray:
     width = max((len(s) for s in strings), default=1) or 1
-    out = np.full((len(strings), width), fill, np.uint8)
-    for row, s in zip(out, strings, strict=True):
-        row[: len(s)] = list(s)
-    return out
+    return np.frombuffer(b"".join([s.ljust(width, bytes([fill])) for s in strings]), np.uint8).reshape(len(strings), width)
 
 
 def own_kernel(strings: list[bytes]) -> np.ndarray:
@@ -264,7 +265,7 @@ def choose_landmarks(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     sizes = {r["_toxic"]: r["n"] for r in rows.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
     counts = landed(each.groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "stems")
-    odds = (F.col("bad") / bad) / ((F.col("good") + 0.5) / good)
+    odds = (F.col("bad") / bad) / ((F.col("good") + UNSEEN) / good)
     likely = counts.where((F.col("bad") >= max(3, bad // 100)) & (odds >= 20)).orderBy(F.desc("bad"), "stem").limit(200 * LANDMARKS)
     plain = [bytes(r["stem"]) for r in counts.orderBy(F.desc("good"), "stem").limit(PLAIN_LANDMARKS).collect()]
     support = {bytes(r["stem"]): r["bad"] for r in likely.collect()}
