@@ -320,6 +320,22 @@ def test_masked_lm_counts_and_order(spark, documents):
     assert np.allclose(np.exp(scorer.logs.reshape(masked_lm.TOKENS, masked_lm.TOKENS, -1)).sum(1), 1, atol=1e-3)
 
 
+def test_masked_lm_grows_with_the_corpus(spark, documents):
+    """The vocabulary follows the corpus, the second word on either side counts, every word has a probability of its own."""
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    scorer = masked_lm.train(docs)
+    assert masked_lm.vocabulary(docs.where("doc_id < 20")).end < scorer.tokens.end and scorer.tokens.end > 200
+    end = scorer.tokens.end
+    around = np.array([[3, 1, 2, 4], [5, 1, 2, 4], [3, 1, 2, 6]])
+    for row in around:  # the words of the vocabulary and the rare one share a probability of one
+        logs = scorer.network.log_likelihood(np.arange(end), np.repeat(row[None], end, 0))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+    far = scorer.network.log_likelihood(np.full(3, 7), around)
+    assert far[0] != far[1] and far[0] != far[2]
+    like = lambda word: scorer.of(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[0][0]
+    assert like(b"relaner") > like(b"xqzjvwk") + 3  # both are unknown
+
+
 def test_shingle_hashes_stand_for_words(documents):
     for (_, text), got in zip(documents, shingle_sets(pa.array([t for _, t in documents]), 5), strict=True):
         assert len(got) == len(plain_set(text))
