@@ -4,7 +4,8 @@ A string of LENGTH bytes is repeated if it also starts earlier. To compare only
 is represented by the least hash among its runs of GRAM bytes (its anchor): equal windows have equal anchors. Neighbouring
 windows mostly share their anchor, so one entry stands for a run of windows.
 
-Entries meet by anchor. Where whole runs are equal the earliest stays and the others go. Where runs differ around one anchor,
+Entries meet by anchor. Where whole runs are equal the earliest stays and the others go, once their bytes are compared with the
+earliest's: directly within a batch, by SHA-256 of the bytes across batches. Where runs differ around one anchor,
 their bytes are fetched, and the suffixes from the anchors on are sorted by a mergesort whose comparisons take the longest
 common extension from prefix polynomial hashes by binary search. Neighbours in that order tell how far a run agrees with any
 other; windows within that reach are compared by hash, and byte by byte before anything is removed.
@@ -109,7 +110,19 @@ def merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return owner[heads], start[heads], reach[tails] - shift[heads]
 
 
-ENTRY = np.dtype([("anchor", "<u8"), ("run", "<u4"), ("owner", "<u2"), ("place", "<u4"), ("before", "u1"), ("after", "u1")])
+def equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether the stretches of the data that start at a and at b hold the same bytes."""
+    out = size_a == size_b
+    for part in np.array_split(np.flatnonzero(out), int(out.sum()) // 20_000 + 1):
+        if len(part):
+            size = size_a[part]
+            heads = np.cumsum(size) - size
+            step = np.arange(int(size.sum())) - np.repeat(heads, size)
+            out[part] = np.logical_and.reduceat(data[np.repeat(a[part], size) + step] == data[np.repeat(b[part], size) + step], heads)
+    return out
+
+
+ENTRY = np.dtype([("anchor", "<u8"), ("run", "<u8"), ("owner", "<u2"), ("place", "<u4"), ("before", "u1"), ("after", "u1")])
 
 
 def packed_anchors(df: DataFrame, n_buckets: int) -> DataFrame:
@@ -145,10 +158,15 @@ def packed_anchors(df: DataFrame, n_buckets: int) -> DataFrame:
         # rows that repeat id and text are one document: its copies are no repeats of one another
         same = (ids[owner] == ids[owner[head]]) & (hashes[owner] == hashes[owner[head]]) & (place == place[head])
         again = ~new & ~same
+        data, offsets = text_bytes(batch.column(2))
+        at, size = offsets[owner] + place - before, before + after + LENGTH
+        some = np.flatnonzero(again)
+        unlike = some[~equal_bytes(data, at[some], at[head[some]], size[some], size[head[some]])]
+        again[unlike], new[unlike] = False, True
         who, start, end = merged(owner[again], (place - before)[again], (place + after)[again] + LENGTH)
         ranges = np.stack([ids[who], hashes[who], start, end], 1).astype(np.int64)
         entries = np.zeros(int(new.sum()), ENTRY)
-        entries["anchor"], entries["run"], entries["owner"] = gram[new], (run_hash[new] >> np.uint64(32)), owner[new]
+        entries["anchor"], entries["run"], entries["owner"] = gram[new], run_hash[new], owner[new]
         entries["place"], entries["before"], entries["after"] = place[new], before[new], after[new] + 128
         # place minus first window is 0 to 68, last window minus place is -68 to 0
         bucket = ((entries["anchor"] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
@@ -168,17 +186,20 @@ def packed_anchors(df: DataFrame, n_buckets: int) -> DataFrame:
     return df.mapInArrow(run, "bucket bigint, entries binary, keys binary, ranges binary")
 
 
-FOUND = "_id bigint, _hash bigint, start int, end int, place int, anchor bigint"
+#: ``place`` is VERIFIED for a range whose bytes were compared, CLAIMED for one that should equal a range of ``of_id``, ``of_hash``
+#: that starts at ``of_start``.
+VERIFIED, CLAIMED = -1, -2
+FOUND = "_id bigint, _hash bigint, start int, end int, place int, anchor bigint, of_id bigint, of_hash bigint, of_start int"
 
 
 def _table(columns: list[np.ndarray]) -> pa.Table:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-    names = ("_id", "_hash", "start", "end", "place", "anchor")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+    names = ("_id", "_hash", "start", "end", "place", "anchor", "of_id", "of_hash", "of_start")
     return pa.table([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
 def met_by_anchor(packed: DataFrame) -> DataFrame:
-    """Ranges that whole runs repeat (``place`` is -1), and the earliest entry of each run where runs differ around an anchor
+    """Ranges that whole runs repeat, and the earliest entry of each run where runs differ around an anchor
     (``start`` and ``end`` then bound the bytes of its windows)."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -202,12 +223,13 @@ def met_by_anchor(packed: DataFrame) -> DataFrame:
         gone = ~new & ~same
         runs = np.bincount(np.cumsum(group) - 1, weights=new) if len(new) else np.zeros(0)
         unclear = new & (runs[np.cumsum(group) - 1] > 1) if len(new) else new
-        none = np.zeros(len(ranges), np.int64)
+        none, rest = np.zeros(len(ranges), np.int64), np.zeros(int(unclear.sum()), np.int64)
         return _table([
             np.concatenate([ranges[:, 0], keys[gone, 0], keys[unclear, 0]]), np.concatenate([ranges[:, 1], keys[gone, 1], keys[unclear, 1]]),
             np.concatenate([ranges[:, 2], start[gone], start[unclear]]), np.concatenate([ranges[:, 3], end[gone], end[unclear]]),
-            np.concatenate([none - 1, np.full(gone.sum(), -1), place[unclear]]),
+            np.concatenate([none + VERIFIED, np.full(gone.sum(), CLAIMED), place[unclear]]),
             np.concatenate([none, np.zeros(gone.sum(), np.int64), anchor[unclear].astype(np.int64)]),
+            *(np.concatenate([none, x[head][gone], rest]) for x in (keys[:, 0], keys[:, 1], start)),
         ])
 
     return packed.groupBy("bucket").applyInArrow(run, FOUND)
@@ -296,18 +318,56 @@ def repeated_windows(ids: np.ndarray, hashes: np.ndarray, start: np.ndarray, pla
     return [ids[who], hashes[who], first, last]
 
 
+def verified(claimed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those claimed ranges whose bytes are those of the range they should equal; ``texts`` has ``_id``, ``_hash``, ``_text``.
+
+    Runs that follow each other in both texts are joined, so their bytes are read once.
+    """
+    shift = (F.col("start") - F.col("of_start")).alias("shift")
+    pairs = claimed.groupBy("_id", "_hash", "of_id", "of_hash", shift).agg(F.collect_list(F.struct("start", "end")).alias("_r"))
+
+    def join(batch: pa.RecordBatch) -> dict:
+        lists = batch.column(5)
+        inner = lists.flatten()
+        owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        who, start, end = merged(owner, *(inner.field(i).to_numpy().astype(np.int64) for i in (0, 1)))
+        ids = {name: batch.column(i).to_numpy()[who] for i, name in enumerate(("_id", "_hash", "of_id", "of_hash"))}
+        return ids | {"start": start, "end": end, "of_start": start - batch.column(4).to_numpy()[who]}
+
+    schema = "_id bigint, _hash bigint, of_id bigint, of_hash bigint, start int, end int, of_start int"
+    pairs = landed(map_batches(pairs, schema, join), "claimed")
+
+    def digests(ranges: DataFrame, names: list[str]) -> DataFrame:
+        """``ranges`` has the four columns named (id, hash, start, size), and perhaps more; adds the digest of the bytes."""
+        id_, hash_, start, size = names
+        wanted = ranges.groupBy(id_, hash_).agg(F.collect_list(F.struct(*[c for c in ranges.columns if c not in (id_, hash_)])).alias("_w"))
+        there = texts.select(F.col("_id").alias(id_), F.col("_hash").alias(hash_), "_text")
+        some = there.join(sized(landed(wanted.select(id_, hash_), "claimed-texts")), [id_, hash_], "left_semi").dropDuplicates([id_, hash_])
+        each = some.join(wanted, [id_, hash_]).select(id_, hash_, F.encode("_text", "UTF-8").alias("_b"), F.explode("_w").alias("_w"))
+        piece = F.substring("_b", F.col(f"_w.{start}") + 1, F.col(f"_w.{size}"))
+        return each.select(id_, hash_, "_w.*", F.sha2(piece, 256).alias("digest"))
+
+    pairs = pairs.withColumn("size", F.col("end") - F.col("start"))
+    key = ["of_id", "of_hash", "of_start", "size"]
+    first = sized(landed(digests(pairs.select(*key).distinct(), key), "digests"))
+    mine = digests(pairs, ["_id", "_hash", "start", "size"])
+    return mine.join(first, [*key, "digest"], "left_semi").select("_id", "_hash", "start", "end")
+
+
 def repeats(df: DataFrame) -> DataFrame:
     """``_id``, ``_hash`` and ranges (``start``, ``end`` in bytes) that are repeated, over all texts of ``df``."""
     volume = df.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     n_buckets = max(shuffle_width(df.sparkSession), -(-volume // BUCKET_BYTES))
     found = landed(met_by_anchor(packed_anchors(df.select("_id", "_hash", "_text"), n_buckets)), "anchors")
-    whole = found.where("place < 0").select("_id", "_hash", "start", "end")
+    on = F.coalesce(df["_id"], F.lit(int(LAST)))
+    keyed = df.select(on.alias("_id"), "_hash", "_text")
+    whole = found.where(F.col("place") == VERIFIED).select("_id", "_hash", "start", "end")
+    whole = whole.unionByName(verified(found.where(F.col("place") == CLAIMED), keyed))
     wanted = landed(
         found.where("place >= 0").groupBy("_id", "_hash").agg(F.collect_list(F.struct("start", "end", "place", "anchor")).alias("_w")), "unclear"
     )
     some = sized(wanted.select("_id", "_hash"))
-    on = F.coalesce(df["_id"], F.lit(int(LAST)))
-    texts = df.select(on.alias("_id"), "_hash", "_text").join(some, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    texts = keyed.join(some, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
     pieces = texts.join(wanted, ["_id", "_hash"]).select("_id", "_hash", F.encode("_text", "UTF-8").alias("_b"), F.explode("_w").alias("_w"))
     piece = F.substring("_b", F.col("_w.start") + 1, F.col("_w.end") - F.col("_w.start"))
     pieces = pieces.select("_id", "_hash", "_w.start", "_w.place", "_w.anchor", piece.alias("bytes"), F.pmod("_w.anchor", F.lit(4 * n_buckets)).alias("bucket"))

@@ -233,6 +233,23 @@ def test_suffix_dedup(spark, documents):
         assert tuple(got[i][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
 
 
+def test_runs_with_one_hash_are_not_removed(spark):
+    """Whole runs whose hashes meet by accident keep their bytes, in one batch and across batches; true copies go."""
+    random.seed(12)
+    text = lambda n: "".join(random.choices("abcdefghij", k=n))
+    same, middle = text(130), text(32)
+    rows = [(i, text(60) + middle + text(60)) for i in range(6)] + [(i, same) for i in range(6, 12)]
+
+    table = suffix_dedup._table([np.array(x) for x in ([1, 7], [1, 7], [0, 0], [150, 130], [suffix_dedup.CLAIMED] * 2, [0, 0], [0, 6], [0, 6], [0, 0])])
+    claimed = spark.createDataFrame(table.to_pandas())
+    texts = spark.createDataFrame([(i, i, t) for i, t in rows], "_id long, _hash long, _text string")
+    assert [tuple(r) for r in suffix_dedup.verified(claimed, texts).collect()] == [(7, 7, 0, 130)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    at = lambda *x: np.array(x, np.int64)
+    got = suffix_dedup.equal_bytes(data, at(152, 6 * 152 + 130, 0), at(0, 6 * 152, 0), at(150, 130, 100), at(150, 130, 101))
+    assert got.tolist() == [False, True, False]
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 400).astype(np.uint8)
