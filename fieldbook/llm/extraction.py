@@ -6,7 +6,6 @@ holds the article, and every line of that element is kept but those inside menus
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from html.parser import HTMLParser
 
@@ -24,19 +23,18 @@ INLINE = frozenset(
 )
 DROPPED = frozenset(
     "head title script style noscript template nav header footer aside form button select option textarea input dialog menu"
-    " iframe object svg canvas audio video map figure figcaption".split()
+    " iframe object svg canvas audio video map".split()
 )
 #: Elements that stand inside a line and whose own text is not read.
 SILENT = frozenset("script style template noscript svg canvas button select option textarea iframe object audio video map".split())
 HOLDERS = frozenset(("article", "main"))
-#: Words of class, id and role that mark what is not the article.
+#: Classes, ids and roles, each as a whole, that mark what is not the article.
 SIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs"
     " header masthead footer sidebar aside widget related recommended comment comments reply replies respond disqus notice cookie"
     " cookies consent gdpr popup modal newsletter subscribe signup login share sharing social toolbar pagination pager legal"
     " copyright complementary contentinfo search alert".split()
 )
-WORD = re.compile(r"[a-z]+")
 SIGMA = 1.0
 
 
@@ -45,8 +43,10 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # tag, number of the element, inside a dropped part
-        self.lines: list[tuple[str, int, bool, tuple]] = []
+        # tag, number of the element, inside a dropped part, numbers of the elements around it that a class or id marks
+        self.stack: list[tuple[str, int, bool, tuple]] = []
+        self.found: list[tuple[str, int, bool, tuple, tuple]] = []
+        self.wraps: set[int] = set()  # marked elements that hold an article
         self.words: list[str] = []
         self.tags = self.count = self.silent = 0
 
@@ -57,19 +57,36 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.words).split())
         if text:
             around = tuple(x for x in self.stack if x[0] in HOLDERS)
-            self.lines.append((text, self.tags, bool(self.stack) and self.stack[-1][2], around))
+            self.found.append((text, self.tags, *(self.stack[-1][2:] if self.stack else (False, ())), around))
             self.tags = 0
         self.words = []
 
-    def side(self, tag: str, attrs: list) -> bool:
+    @property
+    def lines(self) -> list[tuple[str, int, bool, tuple]]:
+        return [(text, tags, dropped or not self.wraps.issuperset(marks), around) for text, tags, dropped, marks, around in self.found]
+
+    def aside(self, at: int = -1) -> bool:
+        """Whether an open element lies in what is dropped, as far as is known."""
+        return bool(self.stack) and (self.stack[at][2] or not self.wraps.issuperset(self.stack[at][3]))
+
+    def dropped(self, tag: str, attrs: list) -> bool:
+        """Whether the element goes whatever it holds."""
         if tag in DROPPED:
-            return tag != "header" or not any(t in HOLDERS for t, _, _ in self.stack)
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value and not SIDE_WORDS.isdisjoint(WORD.findall(value.lower())):
-                return tag not in HOLDERS and tag not in ("body", "html") or name == "class" and "comment" in value.lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-        return False
+            return tag != "header" or not any(x[0] in HOLDERS for x in self.stack)
+        plain = tag not in HOLDERS and tag not in ("body", "html")
+        return any(
+            name == "hidden" or name == "aria-hidden" and value == "true"
+            or name == "role" and plain and not SIDE_WORDS.isdisjoint((value or "").lower().split())
+            for name, value in attrs
+        )
+
+    def marked(self, tag: str, attrs: list) -> bool:
+        """Whether a class or id says that the element is not the article; it stays if it holds, or is, the article itself."""
+        inside = any(x[0] in HOLDERS for x in self.stack)
+        if tag in ("body", "html") or tag in HOLDERS and not inside:
+            return False
+        words = {w for name, value in attrs if name in ("class", "id") for w in (value or "").lower().split()} & SIDE_WORDS
+        return bool(words - {"header"} if inside else words)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -79,18 +96,20 @@ class Lines(HTMLParser):
             return
         if tag in SILENT:
             self.silent += 1
-            self.stack.append((tag, 0, True))
+            self.stack.append((tag, 0, True, ()))
             return
         if tag not in INLINE:
             self.cut()
             if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
                 self.leave(tag, stop=("ul", "ol", "table", "dl", "article", "main", "div", "section", "body", "nav", "aside", "footer"))
-        parent = bool(self.stack) and self.stack[-1][2]
-        own = self.side(tag, attrs)
-        if own and not parent and tag in INLINE and tag != "a":
+        dropped, marks = self.stack[-1][2:] if self.stack else (False, ())
+        own, mark = self.dropped(tag, attrs), self.marked(tag, attrs)
+        if (own or mark) and not self.aside() and tag in INLINE and tag != "a":
             self.cut()
+        if tag in HOLDERS and not (own or dropped or any(x[0] in HOLDERS for x in self.stack)):
+            self.wraps.update(marks)  # an article inside another one, such as a comment, does not count
         self.count += 1
-        self.stack.append((tag, self.count, parent or own))
+        self.stack.append((tag, self.count, dropped or own, (*marks, self.count) if mark else marks))
 
     def leave(self, tag: str, stop: tuple = ()) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
@@ -117,12 +136,12 @@ class Lines(HTMLParser):
         if tag in SILENT:
             self.leave(tag)
             return
-        side = bool(self.stack) and self.stack[-1][2]
+        side = self.aside()
         if tag not in INLINE:
             self.cut()
         elif side and any(x[0] == tag for x in self.stack):
             at = max(i for i, x in enumerate(self.stack) if x[0] == tag)
-            if at == 0 or not self.stack[at - 1][2]:
+            if at == 0 or not self.aside(at - 1):
                 self.cut()  # an inline advert ends inside a line
         self.leave(tag, stop=("article", "main", "body", "nav", "footer", "aside") if tag in INLINE or tag == "p" else ())
 

@@ -296,6 +296,18 @@ def test_page_shapes(page, want):
     assert extraction.main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<div class='page with-sidebar'><article><p>one two three</p></article></div>", "one two three"),
+    ("<article class='comments-open'><h2 class='section-header'>T</h2><p>one two three</p></article>", "T\n\none two three"),
+    ("<div class='sidebar'><p>first</p><main id=content><p>one two three</p></main></div>", "one two three"),
+    ("<div class='widget'><nav>x y</nav><article class='post social'><p>one two</p><div class=ad>buy</div></article></div>", "one two"),
+    ("<article><p>one two</p><figure><img><figcaption>a caption</figcaption></figure><h2 class=header>H</h2></article>", "one two\n\na caption\n\nH"),
+    ("<main><p>one two three</p><section class=comments><article class=comment><p>first!</p></article></section></main>", "one two three"),
+])
+def test_layout_classes_keep_the_article(page, want):
+    assert extraction.main_text(page) == want
+
+
 def test_bpe_equals_the_library(spark, documents):
     from tokenizers import Tokenizer
 
