@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, neighbours, nnpu, oracles, partenum, secret_scan, string_kernel, suffix_dedup
+from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, merkle, neighbours, nnpu, oracles, partenum, secret_scan, string_kernel, suffix_dedup
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,27 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score(docs, masked_lm.train(docs))
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the trees of the languages, and the root that its (for one in seven altered) content folds to."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    ident, more = merkle.field(F.col("doc_id"), is_text=False), F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    leaf = lambda n: merkle.digest_of(
+        [ident, *[merkle.field(F.col(c)) for c in ("source", "lang")], merkle.field(n, is_text=False), merkle.field(F.col("text"))]
+    )
+    rows = docs.withColumn("_leaf", leaf(F.col("n_chars")))
+    rows = rows.withColumn("_claimed", F.when(changed & F.col("n_chars").isNotNull(), leaf(more)).otherwise(F.col("_leaf")))
+    proofs = merkle.manifest(rows, "lang", ["doc_id"], "_leaf", "_claimed", ["doc_id"])
+    return proofs.select(
+        "doc_id",
+        *[merkle.hexed(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.hexed(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.hexed(F.col("folded_root")).alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def token_digests(tokens: DataFrame, *more: str) -> DataFrame:
     return tokens.select(
         "doc_id",
