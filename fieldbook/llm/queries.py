@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, merkle, neighbours, nnpu, oracles, partenum, secret_scan, string_kernel, suffix_dedup
+from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, merkle, neighbours, nnpu, oracles, packing, partenum, prefix_trie, secret_scan, string_kernel, suffix_dedup
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,21 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score(docs, masked_lm.train(docs))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents by binary length; a sequence is one piece, so its offset is 0 and nothing is padded."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", F.lit(0).cast("bigint").alias("offset")
+    )
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document in the trees of the languages, and the root that its (for one in seven altered) content folds to."""
