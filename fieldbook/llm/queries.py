@@ -11,7 +11,7 @@ from fieldbook.llm import bpe, decontamination, extraction, imatch, masked_lm, m
 from fieldbook.llm.common import held_out, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op2_secret_scan": oracles.SECRETS, "op3_partenum_join": oracles.SIMILAR}
+ORACLES: dict[str, str] = {"op2_secret_scan": oracles.SECRETS, "op3_partenum_join": oracles.SIMILAR, "op11_prefix_trie": oracles.TRIE, "op13_merkle_manifest": oracles.MANIFEST}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
