@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import SQUARE_FEET_PER_ACRE, first_match
-from fieldbook.operators.ranking import exact_quantiles, global_rank
+from fieldbook.operators.quantiles import with_quantiles
+from fieldbook.operators.ranking import global_rank
 
 # Priority of raster resolutions, best first; unknown ones come last.
 RESOLUTION_PRIORITY = {
@@ -19,18 +20,22 @@ MAX_PRODUCT_BYTES = 500 * 1024 * 1024
 def parcel_summary(points: DataFrame) -> DataFrame:
     """Statistics per parcel. The minimum is of the mean elevation, the maximum of the maximum."""
     measured = points.where(F.col("mean_elevation_ft").isNotNull())
-    stats = measured.groupBy("parcel_id").agg(
-        F.min("mean_elevation_ft").alias("elevation_min"),
-        F.max("max_elevation_ft").alias("elevation_max"),
-        F.avg("mean_elevation_ft").alias("elevation_mean"),
-        F.stddev_samp("mean_elevation_ft").alias("elevation_std"),
-        F.max("elevation_units").alias("elevation_units"),
-        F.count(F.lit(1)).alias("elevation_points_count"),
-        F.max("processing_method").alias("processing_method"),
-        F.avg("slope_degrees").alias("slope_degrees"),
+    return with_quantiles(
+        measured,
+        ["parcel_id"],
+        "mean_elevation_ft",
+        {"elevation_median": 0.5},
+        [
+            F.min("mean_elevation_ft").alias("elevation_min"),
+            F.max("max_elevation_ft").alias("elevation_max"),
+            F.avg("mean_elevation_ft").alias("elevation_mean"),
+            F.stddev_samp("mean_elevation_ft").alias("elevation_std"),
+            F.max("elevation_units").alias("elevation_units"),
+            F.count(F.lit(1)).alias("elevation_points_count"),
+            F.max("processing_method").alias("processing_method"),
+            F.avg("slope_degrees").alias("slope_degrees"),
+        ],
     )
-    medians = exact_quantiles(measured, "mean_elevation_ft", {"elevation_median": 0.5}, ["parcel_id"])
-    return stats.join(medians, "parcel_id", "left")
 
 
 def elevation_statistics(summary: DataFrame) -> DataFrame:
@@ -75,6 +80,28 @@ def parcel_documents(points: DataFrame, order: list[Column], per_document: int =
     )
 
 
+def whole_documents(points: DataFrame, terrain: DataFrame, order: list[Column], per_document: int = 1000) -> DataFrame:
+    """Documents of a parcel's points, the first of which also carries the parcel's summary and terrain analysis.
+
+    ``terrain`` has one row for each parcel; its other columns make up the analysis.
+    """
+    fields = [c for c in terrain.columns if c != "parcel_id"]
+    summary = parcel_summary(points)
+    summary = summary.select("parcel_id", F.struct(*[c for c in summary.columns if c != "parcel_id"]).alias("summary"))
+    about = summary.join(terrain.select("parcel_id", F.struct(*fields).alias("terrain_analysis")), "parcel_id", "left").withColumn("part", F.lit(0).cast("bigint"))
+    parts = parcel_documents(points, order, per_document)
+    body = F.from_json("document", f"elevation_points {_points_type(points)}")["elevation_points"]
+    first = parts.join(about, ["parcel_id", "part"], "left")
+    return first.select(
+        "parcel_id", "part", "points", F.to_json(F.struct("parcel_id", "part", "summary", body.alias("elevation_points"), "terrain_analysis")).alias("document")
+    )
+
+
+def _points_type(points: DataFrame) -> str:
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in points.schema.fields if f.name != "parcel_id")
+    return f"array<struct<position: bigint, {fields}>>"
+
+
 def terrain_class(slope: Column) -> Column:
     return first_match(
         [
