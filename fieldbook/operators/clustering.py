@@ -1,20 +1,20 @@
-"""Customer segments: k-means with chosen k, top-down hierarchy, density clusters, cluster quality."""
+"""Customer segments: k-means with chosen k, density clusters, cluster quality."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook.operators import kdtree
 from fieldbook.operators.ranking import global_rank, quantile_values, top_n_per_key
-from fieldbook.operators.spatial import salted_cells
 from fieldbook.session import cut_lineage
 
 SEED = 42
@@ -33,7 +33,7 @@ def varied_features(df: DataFrame, candidates: Sequence[str] = CANDIDATE_FEATURE
     return chosen if len(chosen) >= 2 else [c for c in ("days_since_created", "completeness_score") if c in df.columns]
 
 
-def reduce_features(df: DataFrame, features: Sequence[str], variance: float = 0.95, most: int | None = None) -> tuple[PipelineModel, DataFrame]:
+def reduce_features(df: DataFrame, features: Sequence[str], variance: float = 0.95) -> tuple[PipelineModel, DataFrame]:
     """Scale, then keep the principal components that explain the wanted variance. Output column ``point``."""
     ready = df.withColumns({f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     base = Pipeline(
@@ -44,14 +44,14 @@ def reduce_features(df: DataFrame, features: Sequence[str], variance: float = 0.
     ).fit(ready)
     scaled = base.transform(ready)
     n = len(features)
-    if n > 3 or most:
+    if n > 3:
         full = PCA(k=n, inputCol="scaled", outputCol="point").fit(scaled)
         total, k = 0.0, 0
         for share in full.explainedVariance.toArray():
             total, k = total + share, k + 1
             if total >= variance:
                 break
-        k = max(2, min(k, n - 1, most or n))
+        k = max(2, min(k, n - 1))
         last = PCA(k=k, inputCol="scaled", outputCol="point").fit(scaled)
     else:
         last = VectorAssembler(inputCols=["scaled"], outputCol="point")
@@ -83,17 +83,6 @@ def kmeans(points: DataFrame, k: int) -> tuple[object, DataFrame]:
     return model, model.transform(points)
 
 
-def hierarchical(points: DataFrame, k: int) -> tuple[object, DataFrame]:
-    """Top-down bisection; merges are split, not joined, so trees differ from a bottom-up method.
-
-    Splits start from the parent's centre disturbed in proportion to its length, so centred points
-    (centre 0) would never split; they are moved off the origin first, which changes no distance.
-    """
-    moved = points.withColumn("moved_point", array_to_vector(F.transform(vector_to_array("point"), lambda x: x + 10.0)))
-    model = BisectingKMeans(k=k, seed=SEED, featuresCol="moved_point", predictionCol="cluster").fit(moved)
-    return model, model.transform(moved).drop("moved_point")
-
-
 def named(labelled: DataFrame) -> DataFrame:
     return labelled.withColumn("cluster_name", F.concat(F.lit("Segment_"), F.col("cluster").cast("string")))
 
@@ -118,67 +107,12 @@ def quality(labelled: DataFrame) -> DataFrame:
 # Density clusters -------------------------------------------------------------------------------
 
 
-def _distance(a: str, b: str) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-
-
-def _cell(dims: int, size: float) -> Column:
-    return F.array(*[F.floor(F.col("p")[i] / size).cast("bigint") for i in range(dims)])
-
-
-def _around(dims: int, reach: int) -> Column:
-    """All offset vectors with entries in -reach..reach."""
-    out = F.array(F.array().cast("array<bigint>"))
-    steps = F.sequence(F.lit(-reach).cast("bigint"), F.lit(reach).cast("bigint"))
-    for _ in range(dims):
-        out = F.flatten(F.transform(out, lambda head: F.transform(steps, lambda s: F.concat(head, F.array(s)))))
-    return out
-
-
-def _neighbour_cells(df: DataFrame, dims: int, reach: int) -> DataFrame:
-    moved = F.transform(_around(dims, reach), lambda o: F.zip_with("cell", o, lambda a, b: a + b))
-    return df.withColumn("near", F.explode(moved))
-
-
-def knn_distance(spots: DataFrame, dims: int, k: int, start: float, rounds: int = 30) -> DataFrame:
-    """Distance of each spot to its k-th nearest row (itself included, copies counted).
-
-    Cells grow until the k-th distance lies within the cell size, which proves that no nearer row
-    was missed; settled spots leave after each round. Columns: spot, k_distance.
-    """
-    weighted = spots.select("spot", "p", "w")
-    open_, size, done = weighted, start, None
-    for _ in range(rounds):
-        placed = weighted.withColumn("cell", _cell(dims, size)).select(
-            F.col("cell").alias("near"), F.col("p").alias("q"), F.col("w").alias("qw")
-        )
-        asking = _neighbour_cells(open_.withColumn("cell", _cell(dims, size)), dims, 1)
-        met = salted_cells(asking, placed, ["near"], F.col("spot"), 20000).withColumn("d", _distance("p", "q"))
-        close = top_n_per_key(met.select("spot", "d", "qw"), ["spot"], [F.col("d")], k)
-        kth = close.groupBy("spot").agg(
-            F.array_sort(F.collect_list(F.struct("d", "qw"))).alias("l")
-        )
-        # k-th row counting copies: first distance at which the running weight reaches k
-        state = F.aggregate(
-            "l", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("d")),
-            lambda s, x: F.struct((s["n"] + x["qw"]).alias("n"), F.coalesce(s["d"], F.when(s["n"] + x["qw"] >= k, x["d"])).alias("d")),
-        )
-        found = kth.select("spot", state["d"].alias("k_distance")).where(F.col("k_distance") <= size)
-        found = cut_lineage(found)
-        done = found if done is None else done.unionByName(found)
-        open_ = cut_lineage(open_.join(found.select("spot"), "spot", "left_anti"))
-        if open_.isEmpty():
-            break
-        size *= 2
-    return done
-
-
-def components(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
-    """Smallest reachable node of every node. Labels spread along edges and jump to their label's label;
+def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Smallest reachable node of every node. Labels spread along edges and jump to their label's label until none changes;
     each round is written to the shared folder."""
     both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = cut_lineage(nodes.select(F.col("node"), F.col("node").alias("label")))
-    for _ in range(rounds):
+    while True:
         spread = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
         lower = labels.join(spread, labels["node"] == spread["a"], "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label")
@@ -187,73 +121,133 @@ def components(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFram
         moved = cut_lineage(
             lower.join(jump, lower["label"] == jump["_n"], "left").select("node", "old", F.least("label", F.coalesce("_l", "label")).alias("label"))
         )
-        changed = not moved.where(F.col("old") != F.col("label")).isEmpty()
         labels = moved.select("node", "label")
-        if not changed:
-            break
-    return labels
+        if moved.where(F.col("old") != F.col("label")).isEmpty():
+            return labels
+
+
+def _kth(d: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """Distance of each row to its k-th nearest column, counting columns by weight; infinite when there are fewer."""
+    order = d.argsort(axis=1, kind="stable")
+    upto = weight[order].cumsum(axis=1)
+    enough = upto >= k
+    at = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
+    return np.where(at >= 0, np.take_along_axis(d, np.take_along_axis(order, np.maximum(at, 0)[:, None], 1), 1)[:, 0], np.inf)
 
 
-def density_clusters(points: DataFrame, key: str, eps: float | None = None, min_rows: int | None = None) -> DataFrame:
-    """Density clusters of ``point`` vectors with at most three components; noise joins its nearest cluster.
+def knn_distance(placed: DataFrame, levels: list[DataFrame], dims: int, k: int) -> DataFrame:
+    """``k_distance`` of each ``spot``: to its k-th nearest row, itself included and copies counted.
 
-    Equal vectors collapse to weighted spots. Cells have the side eps / √d, so all rows of a cell
-    are neighbours: a cell that holds ``min_rows`` is dense at once, cells link through one closest
-    pair per pair of cells, and components are found on cells instead of rows. Without ``eps`` the
-    90th percentile of the 4th-neighbour distance is used, without ``min_rows`` one fiftieth of the rows.
+    A spot's own leaf bounds the distance; then it looks into the leaves within the greatest bound of its leaf.
+    """
+    own = placed.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
+    bound = lambda a, b: [a.column("spot"), _kth(kdtree.distances(a.p, b.p), b.column("w"), k)]
+    bounds = cut_lineage(kdtree.meet(placed, placed, own, bound, "spot string, bound double"))
+    bounded = cut_lineage(placed.join(bounds, "spot"))
+    found = kdtree.boxes(placed, dims)
+    asking = found.join(bounded.groupBy("node").agg(F.max("bound").alias("reach")), "node")
+
+    def closest(a: kdtree.Side, b: kdtree.Side) -> list:
+        d, w, limit = kdtree.distances(a.p, b.p), b.column("w"), a.column("bound")
+        order = d.argsort(axis=1, kind="stable")[:, :k]
+        near = np.take_along_axis(d, order, 1)
+        keep = near <= limit[:, None]
+        return [np.repeat(a.column("spot"), keep.sum(axis=1)), near[keep], w[order][keep]]
+
+    met = kdtree.meet(bounded, placed, kdtree.near_leaves(asking, found, levels), closest, "spot string, d double, w bigint")
+    lists = top_n_per_key(met, ["spot"], [F.col("d")], k).groupBy("spot").agg(F.array_sort(F.collect_list(F.struct("d", "w"))).alias("l"))
+    state = F.aggregate(
+        "l", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("d")),
+        lambda s, x: F.struct((s["n"] + x["w"]).alias("n"), F.coalesce(s["d"], F.when(s["n"] + x["w"] >= k, x["d"])).alias("d")),
+    )
+    return lists.select("spot", state["d"].alias("k_distance"))
+
+
+def _linked(side: kdtree.Side, eps: float) -> np.ndarray:
+    """Number of the component of each row, rows within ``eps`` of each other being linked."""
+    near, label = kdtree.distances(side.p, side.p) <= eps, np.full(len(side.p), -1)
+    for n in range(len(label)):
+        todo = [n] if label[n] < 0 else []
+        while todo:
+            i = todo.pop()
+            if label[i] < 0:
+                label[i] = n
+                todo.extend(np.flatnonzero(near[i] & (label < 0)))
+    return label
+
+
+def density_clusters(points: DataFrame, key: str, eps: float | None = None, min_rows: int | None = None, leaf: int = kdtree.LEAF) -> DataFrame:
+    """Density clusters of ``point`` vectors of any length: ``key`` and ``cluster``, numbered from 0.
+
+    A row with ``min_rows`` rows within ``eps`` (itself included) is a core; cores within ``eps`` share a cluster; other rows
+    within ``eps`` of a core join the nearest one's, and what is left joins the cluster of the nearest row that has one. Without
+    ``eps`` the 90th percentile of the 4th-neighbour distance is used, without ``min_rows`` one fiftieth of the rows. Where
+    there is no core at all, clusters are null.
+
+    Equal vectors collapse to weighted spots, which lie in leaves of a kd tree; leaves whose boxes are within reach meet in
+    pairs, and clusters that cross leaves are joined as components of their links.
     """
     rows = cut_lineage(points.select(key, vector_to_array("point").alias("p")))
     first = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("p")).alias("dims")).first()
     n, dims = first["n"], first["dims"]
-    if dims > 3:
-        raise ValueError("reduce the points to at most three components first")
+    if not n:
+        return rows.select(key, F.lit(None).cast("int").alias("cluster"))
     min_rows = min_rows or max(2, n // 50)
     spots = cut_lineage(rows.groupBy("p").agg(F.min(F.col(key).cast("string")).alias("spot"), F.count(F.lit(1)).alias("w")))
+    placed, levels = kdtree.partition(spots, dims, leaf)
+    placed = cut_lineage(placed)
     if eps is None:
-        k = min(4, max(n - 1, 1))
-        box = spots.agg(*[(F.max(F.col("p")[i]) - F.min(F.col("p")[i])).alias(f"r{i}") for i in range(dims)]).first()
-        spread = max(max(box), 1e-9)
-        distances = knn_distance(spots, dims, k, max(spread / max(n, 2) ** (1 / dims) * 2, 1e-9))
-        weighted = distances.join(spots.select("spot", "w"), "spot")
+        weighted = knn_distance(placed, levels, dims, min(4, max(n - 1, 1))).join(spots.select("spot", "w"), "spot")
         eps = (quantile_values(weighted, "k_distance", [0.9], weight="w") or [0.0])[0]
         eps = eps if eps > 0 else 0.5
-    size = eps / math.sqrt(dims)
-    reach = math.ceil(math.sqrt(dims))
-    placed = cut_lineage(spots.withColumn("cell", _cell(dims, size)))
-    weights = placed.groupBy("cell").agg(F.sum("w").alias("cell_w"))
-    marked = placed.join(weights, "cell")
-    dense = marked.where(F.col("cell_w") >= min_rows)
-    sparse = marked.where(F.col("cell_w") < min_rows)
-    right = placed.select(F.col("cell").alias("near"), F.col("p").alias("q"), F.col("w").alias("qw"))
-    counted = (
-        salted_cells(_neighbour_cells(sparse, dims, reach), right, ["near"], F.col("spot"), 20000)
-        .where(_distance("p", "q") <= eps).groupBy("spot").agg(F.sum("qw").alias("near_w")).where(F.col("near_w") >= min_rows)
-    )
-    core = cut_lineage(dense.select("spot", "p", "cell").unionByName(sparse.join(counted.select("spot"), "spot", "left_semi").select("spot", "p", "cell")))
-    text = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
-    others = core.select(F.col("cell").alias("near"), F.col("p").alias("q"))
-    pairs = salted_cells(_neighbour_cells(core, dims, reach).where(F.col("near") != F.col("cell")), others, ["near"], F.col("spot"), 20000)
-    links = pairs.groupBy("cell", "near").agg(F.min(_distance("p", "q")).alias("d")).where(F.col("d") <= eps)
-    nodes = core.select(text(F.col("cell")).alias("node")).distinct()
-    labels = components(links.select(text(F.col("cell")).alias("a"), text(F.col("near")).alias("b")), nodes)
-    core_labelled = cut_lineage(
-        core.withColumn("node", text(F.col("cell"))).join(labels, "node").select("spot", "p", F.col("label"))
-    )
-    rest = placed.select("spot", "p").join(core_labelled.select("spot"), "spot", "left_anti")
-    settled, open_, step = core_labelled.select("spot", "label"), cut_lineage(rest), eps
-    for _ in range(40):
-        if open_.isEmpty() or core_labelled.isEmpty():
-            break
-        target = core_labelled.withColumn("cell", _cell(dims, step)).select(F.col("cell").alias("near"), F.col("p").alias("q"), "label")
-        asking = _neighbour_cells(open_.withColumn("cell", _cell(dims, step)), dims, 1)
-        best = salted_cells(asking, target, ["near"], F.col("spot"), 20000).groupBy("spot").agg(
-            F.min(F.struct(_distance("p", "q").alias("d"), "label")).alias("b")
-        )
-        hit = cut_lineage(best.where(F.col("b.d") <= step).select("spot", F.col("b.label").alias("label")))
-        settled = settled.unionByName(hit)
-        open_ = cut_lineage(open_.join(hit.select("spot"), "spot", "left_anti"))
-        step *= 2
-    by_point = settled.join(placed.select("spot", "p"), "spot").select("p", "label")
-    out = rows.join(by_point, "p", "left")
-    numbers = global_rank(out.select("label").where(F.col("label").isNotNull()).distinct(), [F.col("label")], "_number")
+    found = cut_lineage(kdtree.boxes(placed, dims))
+    near = cut_lineage(kdtree.near_leaves(found.withColumn("reach", F.lit(float(eps))), found, levels))
+
+    around = lambda a, b: [a.column("spot"), (kdtree.distances(a.p, b.p) <= eps) @ b.column("w")]
+    counts = kdtree.meet(placed, placed, near, around, "spot string, near bigint").groupBy("spot").agg(F.sum("near").alias("near"))
+    core = cut_lineage(placed.join(counts.where(F.col("near") >= min_rows).select("spot"), "spot", "left_semi"))
+    if core.isEmpty():
+        return rows.select(key, F.lit(None).cast("int").alias("cluster"))
+    own = core.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
+
+    def within(a: kdtree.Side, b: kdtree.Side) -> list:
+        names = b.column("spot")
+        return [names, names[_linked(b, eps)]] if len(names) else [[], []]
+
+    parts = kdtree.meet(core.limit(0), core, own, within, "spot string, part string")
+    core = cut_lineage(core.join(parts, "spot"))
+
+    def links(a: kdtree.Side, b: kdtree.Side) -> list:
+        i, j = np.nonzero(kdtree.distances(a.p, b.p) <= eps)
+        linked = sorted(set(zip(a.column("part")[i], b.column("part")[j])))
+        return [[x for x, _ in linked], [y for _, y in linked]]
+
+    crossing = kdtree.meet(core, core, near.where("a < b"), links, "a string, b string")
+    labels = components(crossing, core.select(F.col("part").alias("node")).distinct())
+    core = cut_lineage(core.join(labels.withColumnRenamed("node", "part"), "part").select("spot", "p", "node", "label"))
+
+    def closest(a: kdtree.Side, b: kdtree.Side) -> list:
+        if not len(a.p) or not len(b.p):
+            return [[], [], []]
+        d, label = kdtree.distances(a.p, b.p), b.column("label")
+        order = np.argsort(label, kind="stable")  # the least label among equally near ones
+        at = order[d[:, order].argmin(axis=1)]
+        return [a.column("spot"), d[np.arange(len(at)), at], label[at]]
+
+    def joined(rest: DataFrame, target: DataFrame, pairs: DataFrame, reach: float) -> DataFrame:
+        met = kdtree.meet(rest, target, pairs, closest, "spot string, d double, label string")
+        best = met.where(F.col("d") <= reach).groupBy("spot").agg(F.min(F.struct("d", "label")).alias("b"))
+        return rest.join(best, "spot").select("spot", "p", "node", F.col("b.label").alias("label"))
+
+    rest = placed.join(core.select("spot"), "spot", "left_anti").select("spot", "p", "node")
+    clustered = cut_lineage(core.unionByName(joined(rest, core, near, eps)))
+    open_ = cut_lineage(rest.join(clustered.select("spot"), "spot", "left_anti"))
+    settled, reach = clustered, float(eps)
+    while not open_.isEmpty():  # ends, since the reach doubles until it spans all rows
+        reach *= 2
+        pairs = kdtree.near_leaves(kdtree.boxes(open_, dims).withColumn("reach", F.lit(reach)), found, levels)
+        hit = cut_lineage(joined(open_, clustered, pairs, reach))
+        settled, open_ = settled.unionByName(hit), cut_lineage(open_.join(hit.select("spot"), "spot", "left_anti"))
+    out = rows.join(settled.select("p", "label"), "p", "left")
+    numbers = global_rank(settled.select("label").distinct(), [F.col("label")], "_number")
     return out.join(numbers, "label", "left").select(key, (F.col("_number") - 1).cast("int").alias("cluster"))

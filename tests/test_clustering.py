@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from fieldbook.operators import clustering, models
+from fieldbook.operators import clustering, hierarchy, kdtree, models
 
 
 def blobs(spark, copies=60):
@@ -14,6 +15,7 @@ def blobs(spark, copies=60):
 
 
 def brute_dbscan(points, eps, least):
+    """Cores by definition; border rows go to the nearest core, the rest to the nearest row that has a cluster."""
     d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
     core = (d <= eps).sum(1) >= least
     label = np.full(len(points), -1)
@@ -30,18 +32,47 @@ def brute_dbscan(points, eps, least):
         n += 1
     cores = np.flatnonzero(core)
     for i in np.flatnonzero(~core):
-        label[i] = label[cores[d[i][cores].argmin()]]
+        near = d[i][cores]
+        if near.min() <= eps:
+            label[i] = label[cores[near.argmin()]]
+    clustered = np.flatnonzero(label >= 0)
+    for i in np.flatnonzero(label < 0):
+        label[i] = label[clustered[d[i][clustered].argmin()]]
     return label
 
 
-@pytest.mark.parametrize("eps,least", [(0.25, 4), (0.5, 10)])
-def test_density_clusters_match_brute_force(spark, eps, least):
+def same_groups(got, want):
+    pairs = set(zip(got, want))
+    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+@pytest.mark.parametrize("eps,least,leaf", [(0.25, 4, 2000), (0.5, 10, 20), (0.25, 4, 7)])
+def test_density_clusters_match_brute_force(spark, eps, least, leaf):
     df, points = blobs(spark)
-    got = {r["id"]: r["cluster"] for r in clustering.density_clusters(df, "id", eps, least).collect()}
-    want = brute_dbscan(points, eps, least)
+    got = {r["id"]: r["cluster"] for r in clustering.density_clusters(df, "id", eps, least, leaf).collect()}
     assert None not in got.values()
-    pairs = {(got[i], want[i]) for i in range(len(points))}
-    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    assert same_groups([got[i] for i in range(len(points))], brute_dbscan(points, eps, least))
+
+
+@pytest.mark.parametrize("dims,leaf", [(2, 40), (5, 60), (12, 50)])
+def test_density_clusters_of_many_components(spark, dims, leaf):
+    """Clusters that cross many leaves, with eps taken from the data."""
+    rng = np.random.default_rng(dims)
+    points = np.vstack([rng.normal(c, 0.4, (90, dims)) for c in (0, 5, 9)] + [rng.uniform(-4, 14, (12, dims)), np.full((30, dims), 2.5)])
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points)], ["id", "point"])
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    eps = np.quantile(np.sort(d, axis=1)[:, 3], 0.9)
+    spots = df.select(vector_to_array("point").alias("p"), F.col("id").cast("string").alias("spot"), F.lit(1).cast("bigint").alias("w")).dropDuplicates(["p"])
+    placed, levels = kdtree.partition(spots, dims, leaf)
+    assert placed.groupBy("node").count().agg(F.max("count")).first()[0] <= leaf and levels
+    got = {r["id"]: r["cluster"] for r in clustering.density_clusters(df, "id", leaf=leaf).collect()}
+    assert same_groups([got[i] for i in range(len(points))], brute_dbscan(points, eps, max(2, len(points) // 50)))
+
+
+def test_density_clusters_of_little(spark):
+    df, _ = blobs(spark)
+    assert clustering.density_clusters(df.limit(0), "id").collect() == []
+    assert {r["cluster"] for r in clustering.density_clusters(df.limit(5), "id", 1e-6, 4).collect()} == {None}
 
 
 def test_components(spark):
@@ -58,10 +89,42 @@ def test_kmeans_quality(spark):
     assert q["silhouette"] > 0.8 and q["calinski_harabasz"] > 100 and q["clusters"] == 3
 
 
-def test_hierarchy_splits_centred_points(spark):
-    df = spark.createDataFrame([(i, Vectors.dense([v])) for i, v in enumerate([-1.0, -1.1, 1.0, 1.1])], ["id", "point"])
-    _, labelled = clustering.hierarchical(df, 2)
-    assert labelled.select("cluster").distinct().count() == 2
+def brute_ward(points, k):
+    """Joins the two clusters that cost least until k are left."""
+    groups = [[i] for i in range(len(points))]
+    while len(groups) > k:
+        centre, size = [points[g].mean(0) for g in groups], [len(g) for g in groups]
+        costs = [
+            (size[i] * size[j] / (size[i] + size[j]) * ((centre[i] - centre[j]) ** 2).sum(), i, j)
+            for i in range(len(groups)) for j in range(i)
+        ]
+        _, i, j = min(costs)
+        groups[j] += groups.pop(i)
+    label = np.zeros(len(points), int)
+    for n, g in enumerate(groups):
+        label[g] = n
+    return label
+
+
+@pytest.mark.parametrize("k", [2, 3, 5, 9])
+def test_agglomerative_equals_the_dendrogram(spark, k):
+    rng = np.random.default_rng(k)
+    points = np.vstack([rng.normal(0, 3, (60, 3)), np.tile(rng.normal(0, 3, (1, 3)), (8, 1))])
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points)], ["id", "point"])
+    got = {r["id"]: r["cluster"] for r in hierarchy.agglomerative(df, k).collect()}
+    assert same_groups([got[i] for i in range(len(points))], brute_ward(points, k))
+
+
+def test_agglomerative_over_few_micro_clusters(spark):
+    """Far more rows than micro-clusters: blobs come out whole, and the features stay within their number."""
+    df, points = blobs(spark)
+    many = df.crossJoin(spark.range(30).withColumnRenamed("id", "copy")).select((F.col("id") * 100 + F.col("copy")).alias("id"), "point")
+    n, centres = hierarchy.micro_clusters(many.select(vector_to_array("point").alias("p")), 25)
+    assert len(n) <= 25 and n.sum() == many.count()
+    got = {r["id"]: r["cluster"] for r in hierarchy.agglomerative(many, 4, 25).collect()}
+    want = np.repeat([0, 1, 2, 3], [80, 80, len(points) - 161, 1])
+    assert same_groups([got[i * 100] for i in range(len(points))], want)
+    assert hierarchy.agglomerative(df.limit(0), 3).collect() == []
 
 
 def test_classifier_learns_and_reloads(spark):
