@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.functions.documents import is_salvaged, parcels_of, parse_or_salvage
+from fieldbook.session import cut_lineage, if_small
 
 # State names by the token found in a path, a county field or an address.
 STATE_TOKENS = {"tx": "texas", "ca": "california", "fl": "florida"}
@@ -24,24 +25,25 @@ def scan_documents(spark: SparkSession, paths: str | Sequence[str], whole_file:
     """Raw documents: file name, position in the file, text, and the lifted load fields.
 
     By default every line is a document and large files are split between tasks. ``whole_file`` reads
-    each file as one document, for pretty-printed JSON. The position is the order of the lines of a
-    file, found without gathering a file in one task: lines are numbered in the split they are read in.
+    each file as one document, for pretty-printed JSON. The position counts the lines of a file that are
+    not blank. A line's number in its split comes from the split it is read in, and the splits of a file
+    are added up from their counts, so no text leaves the task that reads it.
     """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     lines = reader.text(paths, wholetext=whole_file).select(
-        F.col("_metadata.file_path").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.col("value").alias("raw_data"),
-        F.monotonically_increasing_id().alias("_line"),
+        F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("raw_data")
     )
-    numbered = _line_numbers(lines.where(F.length(F.trim("raw_data")) > 0))
-    return lift_fields(numbered)
+    lines = lines.where(F.length(F.trim("raw_data")) > 0).withColumn("_line", F.monotonically_increasing_id())
+    return lift_fields(_numbered(lines))
 
 
-def _line_numbers(lines: DataFrame) -> DataFrame:
-    from fieldbook.operators.ranking import global_rank
-
-    return global_rank(lines, [F.col("_block"), F.col("_line")], "file_row_number", ["file_name"]).drop("_block", "_line")
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Adds ``file_row_number``. Both readings deal the files to the same splits, as they share one listing of them."""
+    splits = lines.groupBy("file_name", "_block").agg(F.min("_line").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file_name").orderBy("_block")) - F.col("_n")
+    splits = if_small(cut_lineage(splits.select("file_name", "_block", "_first", before.alias("_before"))))
+    numbered = lines.join(splits, ["file_name", "_block"])
+    return numbered.withColumn("file_row_number", F.col("_line") - F.col("_first") + F.col("_before") + 1).drop("_block", "_line", "_first", "_before")
 
 
 def lift_fields(raw: DataFrame) -> DataFrame:
