@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SLOPE = """
 CREATE OR REPLACE TEMPORARY FUNCTION slope_between(
@@ -25,3 +25,14 @@ RETURN CASE WHEN lat1 = lat2 AND lon1 = lon2 THEN 0.0D
 def register_geo_functions(spark: SparkSession) -> None:
     spark.sql(SLOPE)
     spark.sql(DISTANCE)
+
+
+def register_document_function(spark: SparkSession, name: str, documents: DataFrame, key: str = "parcel_id") -> None:
+    """A table function ``name(key)`` that returns the documents of one key as objects.
+
+    Used with LATERAL it becomes a join on the key, so it serves one parcel or all of them alike.
+    """
+    view = f"{name}_source"
+    documents.select(key, "document").createOrReplaceTempView(view)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted STRING) RETURNS TABLE (document VARIANT)
+      RETURN SELECT parse_json(s.document) AS document FROM {view} AS s WHERE s.{key} = wanted""")

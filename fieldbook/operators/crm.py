@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldbook.functions.values import (
     is_business_mail, mail_domain, mapped, null_if_token, right_closed_bin, share_filled, text_bucket, whole_days,
 )
-from fieldbook.operators.ranking import latest_by, quantile_or_width_bucket, quantile_values, with_group_size
+from fieldbook.operators.ranking import latest_by, quantile_or_width_bucket, quantile_values, top_n_per_key, with_group_size
 from fieldbook.session import cut_lineage
 
 OBJECT_TYPE = (
@@ -42,6 +42,63 @@ def explode_pages(pages: DataFrame, text: str, max_results: int | None = None) -
     return out.limit(max_results) if max_results else out
 
 
+# Object types of the service, and the properties that are asked for by default.
+OBJECT_TYPES = ["contacts", "companies", "deals", "tickets", "products", "line_items", "quotes", "calls", "emails", "meetings", "notes", "tasks"]
+DEFAULT_PROPERTIES = {
+    "contacts": [
+        "firstname", "lastname", "email", "phone", "company", "website", "jobtitle", "lifecyclestage", "lead_status", "hs_lead_status", "createdate",
+        "lastmodifieddate", "hs_analytics_source", "hs_analytics_source_data_1", "hs_analytics_source_data_2", "hubspot_owner_id",
+        "hubspot_owner_assigneddate", "hubspot_team_id", "hs_all_owner_ids",
+    ],
+    "companies": [
+        "name", "domain", "industry", "phone", "city", "state", "country", "numberofemployees", "annualrevenue", "type", "website", "createdate",
+        "hs_lastmodifieddate", "lifecyclestage",
+    ],
+    "deals": [
+        "dealname", "amount", "dealstage", "pipeline", "closedate", "createdate", "hs_lastmodifieddate", "hubspot_owner_id", "dealtype",
+        "hs_analytics_source", "hs_deal_stage_probability",
+    ],
+    "tickets": [
+        "subject", "content", "hs_pipeline", "hs_pipeline_stage", "hs_ticket_priority", "hs_ticket_category", "hs_ticket_id", "createdate",
+        "hs_lastmodifieddate", "hubspot_owner_id",
+    ],
+}
+
+
+def typed_objects(pages: DataFrame, text: str, kind: str, order: str, lists: dict[str, Sequence[str]] | None = None, max_results: int | None = None) -> DataFrame:
+    """Objects of pages of mixed types in one pass, each with the properties its type's list names and the others apart.
+
+    ``kind`` names the column with the object type, ``order`` the one that orders pages. ``listed`` holds every property of the
+    list (null where the object lacks it), ``others`` what the list does not name; a type without a list keeps all there, and
+    ``is_known_type`` tells types that the service does not have. ``max_results`` bounds the objects of each type, first pages
+    first.
+    """
+    lists = DEFAULT_PROPERTIES if lists is None else lists
+    parsed = F.from_json(text, f"results array<struct<{OBJECT_TYPE}>>")
+    out = pages.select(F.col(kind).alias("object_type"), F.col(order).alias("_page"), F.posexplode(parsed["results"]).alias("_position", "o"))
+    out = out.select("object_type", "_page", "_position", "o.*")
+    if max_results:
+        out = top_n_per_key(out, ["object_type"], [F.col("_page"), F.col("_position")], max_results).drop("rank")
+    names = F.create_map(*[x for t, ps in lists.items() for x in (F.lit(t), F.array(*[F.lit(p) for p in ps]))])
+    own = F.coalesce(names[F.col("object_type")], F.array().cast("array<string>"))
+    have = F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>"))
+    out = out.withColumns({"_own": own, "properties": have})
+    return out.withColumns(
+        {
+            "listed": F.map_from_arrays("_own", F.transform("_own", lambda p: F.col("properties")[p])),
+            "others": F.map_filter("properties", lambda p, _: ~F.array_contains("_own", p)),
+            "is_known_type": F.col("object_type").isin(OBJECT_TYPES),
+        }
+    ).drop("_own", "properties", "_page", "_position")
+
+
+def objects_of_type(objects: DataFrame, kind: str, lists: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One column for each listed property of one type; the other properties stay a map."""
+    names = (DEFAULT_PROPERTIES if lists is None else lists).get(kind, [])
+    rest = [c for c in objects.columns if c not in ("listed", "object_type", "is_known_type")]
+    return objects.where(F.col("object_type") == kind).select(*rest, *[F.col("listed")[n].alias(n) for n in names])
+
+
 def modified_since(objects: DataFrame, column: str, last_success: dt.datetime | None, as_of: dt.datetime) -> DataFrame:
     """Objects changed since the last successful run, or in the last seven days without one."""
     since = last_success or as_of - dt.timedelta(days=7)

@@ -165,6 +165,29 @@ def src08(spark, sf):
     )
 
 
+NAMES = ["firstname", "name", "dealname", "subject", "amount", "createdate", "custom_score"]
+
+
+@query("src08_typed_objects", f"""WITH t AS (SELECT *, [{', '.join(f"'{t}'" for t in crm.OBJECT_TYPES)}, 'unheard'][o_orderkey % 13 + 1] AS object_type FROM orders)
+SELECT '' || o_orderkey AS id, object_type, object_type <> 'unheard' AS is_known_type, CAST(CASE object_type WHEN 'contacts' THEN 19 WHEN 'companies' THEN 14 WHEN 'deals' THEN 11 WHEN 'tickets' THEN 10 ELSE 0 END AS BIGINT) AS listed,
+  CAST(CASE object_type WHEN 'contacts' THEN 2 WHEN 'companies' THEN 2 WHEN 'deals' THEN 3 WHEN 'tickets' THEN 2 ELSE 0 END AS BIGINT) AS filled,
+  CAST(CASE object_type WHEN 'contacts' THEN 5 WHEN 'companies' THEN 5 WHEN 'deals' THEN 4 WHEN 'tickets' THEN 5 ELSE 7 END AS BIGINT) AS others,
+  CASE WHEN object_type = 'deals' THEN 'dealname of ' || o_orderkey END AS dealname, 'custom_score of ' || o_orderkey AS custom FROM t""")
+def src08_typed(spark, sf):
+    """Pages of all types mixed, each object with the properties of its own type."""
+    k = F.col("o_orderkey")
+    kinds = F.array(*[F.lit(t) for t in (*crm.OBJECT_TYPES, "unheard")])
+    props = F.map_from_arrays(F.array(*map(F.lit, NAMES)), F.array(*[F.concat(F.lit(f"{n} of "), k.cast("string")) for n in NAMES]))
+    objects = spread(base(spark, sf, "orders")).select(k, F.get(kinds, (k % 13).cast("int")).alias("object_type"), F.struct(k.cast("string").alias("id"), props.alias("properties")).alias("o"))
+    pages = objects.select("object_type", F.col("o_orderkey").alias("page_number"), F.to_json(F.struct(F.array("o").alias("results"))).alias("page"))
+    out = crm.typed_objects(pages, "page", "object_type", "page_number")
+    size = lambda c: F.size(c).cast("bigint")
+    return out.select(
+        "id", "object_type", "is_known_type", size("listed").alias("listed"), size(F.map_filter("listed", lambda _, v: v.isNotNull())).alias("filled"),
+        size("others").alias("others"), F.col("listed")["dealname"].alias("dealname"), F.col("others")["custom_score"].alias("custom"),
+    )
+
+
 @query("src09_incremental", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS modified FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01'")
 def src09(spark, sf):
     from fieldbook.sources.tables import last_successful_run
@@ -604,5 +627,8 @@ def r16(spark, sf):
 @query("ml25_attached_scores", """SELECT id, CASE WHEN id % 3 = 0 THEN lead_score ELSE 0.5 END AS lead_score, CASE WHEN id % 2 = 0 THEN churn_risk_score ELSE 0.3 END AS churn_risk_score, 'Segment_0' AS predicted_segment FROM scored""", "scored")
 def ml25(spark, sf):
     s = table(spark, sf, "scored")
-    out = rules.attach_scores(s.select("id"), s.where("id % 3 = 0").select("id", "lead_score"), s.where("id % 2 = 0").select("id", "churn_risk_score"), None)
+    out = rules.attach_scores(
+        s.select("id"), s.select("id", F.when(F.col("id") % 3 == 0, F.col("lead_score")).alias("lead_score")),
+        s.select("id", F.when(F.col("id") % 2 == 0, F.col("churn_risk_score")).alias("churn_risk_score")), None,
+    )
     return out.select("id", "lead_score", "churn_risk_score", "predicted_segment")

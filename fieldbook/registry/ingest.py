@@ -6,6 +6,7 @@ Queries that need files write the given tables in the landed form first, into th
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,8 @@ from fieldbook.registry import query
 from fieldbook.registry.raw_documents import AS_OF, parcel_sql, raw_documents
 from fieldbook.registry.tables import base, spread, table
 from fieldbook.session import new_folder
-from fieldbook.sources import landing, requests, responses, tables as store
+from fieldbook.registry.space import NEAREST
+from fieldbook.sources import catalog, landing, requests, responses, tables as store
 from fieldbook.streaming import jobs
 
 FILE_NAME = "'raw/parcels/county_' || (l_suppkey % 50) || '/o' || l_orderkey || '_p' || l_partkey || '_s' || l_suppkey || '.json'"
@@ -299,12 +301,14 @@ def u02(spark, sf):
     return merges.merge_source(raw_documents(spark, sf), AS_OF, None).agg(F.count(F.lit(1)).alias("versions"), F.countDistinct("parcel_id").alias("parcels"))
 
 
-@query("snk11_station_assignments", "SELECT count(*) AS assignments, count(DISTINCT parcel_id) AS parcels FROM parcels WHERE latitude IS NOT NULL", "parcels")
+@query("snk11_station_assignments", f"""WITH {NEAREST} SELECT parcel_id, station_id, round(d, 4) AS distance_miles, data_year FROM assigned LEFT JOIN climate USING (station_id)""",
+       "parcels stations station_climate")
 def snk11(spark, sf):
+    """Assignments as a catalog table of their own, created from the query."""
     root = new_folder(spark, "snk11")
     out = merges.assign_stations(table(spark, sf, "parcels"), table(spark, sf, "stations"), table(spark, sf, "station_climate"))
-    store.replace_table(out, root)
-    return store.read_table(spark, root).agg(F.count(F.lit(1)).alias("assignments"), F.countDistinct("parcel_id").alias("parcels"))
+    stored = catalog.create_table_as(out, f"station_assignments_{uuid.uuid4().hex}", root)
+    return stored.select("parcel_id", "station_id", F.round("distance_miles", 4).alias("distance_miles"), "data_year")
 
 
 @query("seed01_counties", "SELECT n_name AS state_name, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import SQUARE_FEET_PER_ACRE
+from fieldbook.functions.sql_functions import register_document_function
 from fieldbook.operators import climate, crops, gaps, landcover, topography
 from fieldbook.operators.dimensions import (
     CROP_HISTORY_STATES, FULL_COVERAGE_STATES, MAJOR_FARM_STATES, MIXED_FARM_STATES, STATION_BOXES,
@@ -209,6 +210,55 @@ def a14_topo(spark, sf):
     )
 
 
+TOPO_DOCS = f"""WITH t AS ({TOPO}), n AS (SELECT *, row_number() OVER (PARTITION BY parcel_id ORDER BY topo_id, topo_line, mean_elevation_ft, slope_degrees) AS rn FROM topography),
+ parts AS (SELECT parcel_id, CAST((rn - 1) // 20 AS BIGINT) AS part, count(*) AS points, min(topo_id) FILTER ((rn - 1) % 20 = 0) AS first_topo FROM n GROUP BY 1, 2)
+SELECT parcel_id, part, points, first_topo, CASE WHEN part = 0 THEN round(elevation_min, 6) END AS elevation_min, CASE WHEN part = 0 THEN round(elevation_median, 6) END AS elevation_median,
+  CASE WHEN part = 0 THEN elevation_points_count END AS summary_points, CASE WHEN part = 0 THEN CASE WHEN elevation_max - elevation_min < 50 THEN 'level' ELSE 'uneven' END END AS relief
+FROM parts LEFT JOIN t USING (parcel_id)"""
+
+
+def _topo_documents(spark, sf):
+    points = table(spark, sf, "topography")
+    order = [F.col(c) for c in ("topo_id", "topo_line", "mean_elevation_ft", "slope_degrees")]
+    span = F.max("max_elevation_ft") - F.min("mean_elevation_ft")
+    terrain = points.groupBy("parcel_id").agg(F.when(span < 50, "level").otherwise("uneven").alias("relief"))
+    return topography.whole_documents(points, terrain, order, per_document=20)
+
+
+def _topo_fields(documents):
+    get = lambda path, kind: F.variant_get(F.col("document"), path, kind)
+    return documents.select(
+        "parcel_id", get("$.part", "bigint").alias("part"), F.size(get("$.elevation_points", "array<variant>")).cast("bigint").alias("points"),
+        get("$.elevation_points[0].topo_id", "bigint").alias("first_topo"), F.round(get("$.summary.elevation_min", "double"), 6).alias("elevation_min"),
+        F.round(get("$.summary.elevation_median", "double"), 6).alias("elevation_median"), get("$.summary.elevation_points_count", "bigint").alias("summary_points"),
+        get("$.terrain_analysis.relief", "string").alias("relief"),
+    )
+
+
+@query("a14_topography_whole", TOPO_DOCS, "topography")
+def a14_topo_whole(spark, sf):
+    """Documents with summary, points and terrain analysis."""
+    docs = _topo_documents(spark, sf)
+    return _topo_fields(docs.select("parcel_id", F.parse_json("document").alias("document")))
+
+
+@query("ud02_topography_document", TOPO_DOCS, "topography")
+def ud02_topo(spark, sf):
+    """The same documents through a table function that is called from SQL for every parcel."""
+    register_document_function(spark, "topography_document", _topo_documents(spark, sf))
+    parcels = table(spark, sf, "topography").select("parcel_id").distinct()
+    return _topo_fields(spark.sql("SELECT p.parcel_id, d.document FROM {parcels} AS p, LATERAL topography_document(p.parcel_id) AS d", parcels=parcels))
+
+
+@query("ud02_land_cover_document", f"""WITH {SUMMARY} SELECT s.parcel_id, s.dominant_class_name AS dominant_class, CAST(s.total_classes_count AS BIGINT) AS classes, s.is_natural FROM summary s""",
+       "land_cover classes")
+def ud02_cover(spark, sf):
+    register_document_function(spark, "land_cover_document", landcover.parcel_documents(_detail(spark, sf)))
+    parcels = table(spark, sf, "land_cover").select("parcel_id").distinct()
+    return spark.sql("""SELECT p.parcel_id, d.document:summary.dominant_class::string AS dominant_class, CAST(size(d.document:classes::array<variant>) AS BIGINT) AS classes,
+      d.document:summary.is_natural::boolean AS is_natural FROM {parcels} AS p, LATERAL land_cover_document(p.parcel_id) AS d""", parcels=parcels)
+
+
 @query("t05_best_dem_product", """
 SELECT brand, arg_min(title, (priority, k)) AS title, arg_min(resolution, (priority, k)) AS resolution FROM (
   SELECT p_brand AS brand, p_name || CASE p_partkey % 4 WHEN 0 THEN ' DEM' WHEN 1 THEN ' 3DEP' WHEN 2 THEN ' photo' ELSE ' Elevation' END AS title,
@@ -266,10 +316,10 @@ def j03(spark, sf):
 @query("r15_result_status", f"""
 SELECT status, count(*) AS parcels FROM (SELECT p.parcel_id, CASE WHEN m IS NULL THEN 'missing'
   WHEN m >= TIMESTAMP '2002-01-01' - INTERVAL {AGE} DAY THEN 'fresh' ELSE 'stale' END AS status FROM parcels p
-  LEFT JOIN (SELECT 'P' || o_custkey AS parcel_id, max(o_orderdate) AS m FROM orders WHERE o_custkey % 7 <> 0 GROUP BY 1) r ON p.parcel_id = r.parcel_id)
+  LEFT JOIN (SELECT 'P' || o_custkey AS parcel_id, max(o_orderdate) AS m FROM orders GROUP BY 1) r ON p.parcel_id = r.parcel_id)
 GROUP BY 1""", "parcels")
 def r15(spark, sf):
-    results = base(spark, sf, "orders").where("o_custkey % 7 <> 0").select(
+    results = base(spark, sf, "orders").select(
         F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("parcel_id"), F.col("o_orderdate").alias("processed_at")
     )
     out = gaps.result_status(table(spark, sf, "parcels"), results, "parcel_id", "processed_at", AS_OF, AGE)
@@ -307,19 +357,19 @@ def p27(spark, sf):
 
 @query("j05_gap_detection", """
 SELECT p.parcel_id, created_epoch, s.id IS NOT NULL AS has_soil, c.id IS NOT NULL AS has_crop, w.id IS NOT NULL AS has_climate FROM parcels p
-LEFT JOIN (SELECT DISTINCT 'P' || l_partkey AS id FROM lineitem WHERE l_linenumber > 2) s ON s.id = p.parcel_id
-LEFT JOIN (SELECT DISTINCT parcel_id AS id FROM crop_history WHERE crop_year > 2018) c ON c.id = p.parcel_id
-LEFT JOIN (SELECT DISTINCT 'P' || o_custkey AS id FROM orders WHERE o_orderstatus = 'F') w ON w.id = p.parcel_id
+LEFT JOIN (SELECT DISTINCT 'P' || (l_partkey * 3 // 2) AS id FROM lineitem) s ON s.id = p.parcel_id
+LEFT JOIN (SELECT DISTINCT parcel_id AS id FROM crop_history) c ON c.id = p.parcel_id
+LEFT JOIN (SELECT DISTINCT 'P' || o_custkey AS id FROM orders) w ON w.id = p.parcel_id
 WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND created_epoch >= 1005000000 AND (s.id IS NULL OR c.id IS NULL OR w.id IS NULL)""",
        "parcels crop_history")
 def j05(spark, sf):
     def keyed(df, col):
-        return df.select(F.concat(F.lit("P"), F.col(col).cast("string")).alias("parcel_id"))
+        return df.select(F.concat(F.lit("P"), col.cast("string")).alias("parcel_id"))
 
     sources = {
-        "soil": keyed(base(spark, sf, "lineitem").where("l_linenumber > 2"), "l_partkey"),
-        "crop": table(spark, sf, "crop_history").where("crop_year > 2018"),
-        "climate": keyed(base(spark, sf, "orders").where("o_orderstatus = 'F'"), "o_custkey"),
+        "soil": keyed(base(spark, sf, "lineitem"), F.floor(F.col("l_partkey") * 3 / 2)),
+        "crop": table(spark, sf, "crop_history"),
+        "climate": keyed(base(spark, sf, "orders"), F.col("o_custkey")),
     }
     parcels = table(spark, sf, "parcels").withColumn("created_at", F.timestamp_seconds("created_epoch"))
     out = gaps.enrichment_gaps(parcels, sources, F.timestamp_seconds(F.lit(1005000000)))

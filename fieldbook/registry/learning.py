@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fieldbook.operators import clustering, crm, models, reports
+from fieldbook.operators import clustering, crm, hierarchy, models, reports
 from fieldbook.plans import training
 from fieldbook.registry import query
 from fieldbook.registry.crm import LEADS, T, _deals, _leads
@@ -40,7 +40,7 @@ def ml04(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     columns = (models.usable_numeric(frame, numeric), few, many)
-    rows = models.prepared(frame, *columns)
+    rows = models.prepared(frame, *columns, models.label_codes(frame, many))
     out = Pipeline(stages=models.feature_stages(*columns)).fit(rows).transform(rows)
     return out.select("contact_id", F.size(vector_to_array("features")).alias("features"))
 
@@ -104,7 +104,7 @@ def ml14(spark, sf):
 @query("ml15_dbscan")
 def ml15(spark, sf):
     frame = _segment_frame(spark, sf)
-    _, points = clustering.reduce_features(frame, clustering.varied_features(frame), most=2)
+    _, points = clustering.reduce_features(frame, clustering.varied_features(frame))
     return clustering.density_clusters(points, "contact_id").groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -112,7 +112,9 @@ def ml15(spark, sf):
 def ml16(spark, sf):
     frame = _segment_frame(spark, sf)
     _, points = clustering.reduce_features(frame, clustering.varied_features(frame))
-    _, labelled = clustering.hierarchical(cut_lineage(points), 5)
+    points = cut_lineage(points.select("contact_id", "point"))
+    k, _ = clustering.choose_k(points)
+    labelled = hierarchy.agglomerative(points, k)
     return clustering.named(labelled).groupBy("cluster", "cluster_name").agg(F.count(F.lit(1)).alias("rows"))
 
 

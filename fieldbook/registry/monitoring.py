@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldbook.operators import merge, quality
 from fieldbook.registry import query
 from fieldbook.registry.tables import base, table
 from fieldbook.session import new_folder
-from fieldbook.sources import tables as store
+from fieldbook.sources import catalog, tables as store
+from fieldbook.streaming import jobs
 
 EVENTS_AS_OF = dt.datetime(2024, 1, 31)
 ORDERS_AS_OF = dt.datetime(2002, 1, 1)
@@ -173,9 +176,36 @@ def a20_cat(spark, sf):
 
 @query("a25_table_info", """SELECT column_name, (SELECT count(*) FROM orders) AS row_count FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) AS t(column_name)""")
 def a25(spark, sf):
-    orders = base(spark, sf, "orders")
-    count = orders.agg(F.count(F.lit(1)).alias("n"))
-    return quality.column_listing(orders).select("column_name").withColumn("row_count", count.scalar())
+    return catalog.describe_table(spark, _attached(spark, sf, "orders")).select("column_name", "row_count")
+
+
+def _attached(spark, sf, name):
+    """A base table under a name that its folder determines, so that several scales may be attached side by side."""
+    mark = zlib.crc32(sf.encode())
+    catalog.attach_table(spark, f"{name}_{mark}", f"{sf.rstrip('/')}/{name}.parquet")
+    return f"{name}_{mark}"
+
+
+LISTED = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6}
+
+
+@query("a25_table_listing", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, (SELECT count(*) FROM information_schema.columns WHERE table_name = '{name}') AS n_columns, (SELECT count(*) FROM {name}) AS row_count"
+    for name in LISTED))
+def a25_listing(spark, sf):
+    names = [_attached(spark, sf, name) for name in LISTED]
+    listing = catalog.list_tables(spark, "*_" + names[0].rsplit("_", 1)[1]).where(F.col("table_name").isin(names))
+    return listing.select(F.regexp_replace("table_name", "_[0-9]+$", "").alias("table_name"), F.col("n_columns").cast("bigint").alias("n_columns"), "row_count")
+
+
+@query("dq09_tables_check", """SELECT * FROM (VALUES ('customer', true, '', 'pass'), ('nation', true, 'phone,population', 'fail'), ('absent_table', false, 'id', 'fail'))
+  AS t(table_name, table_exists, missing_columns, status) JOIN (SELECT 'customer' AS table_name, count(*) AS row_count FROM customer
+  UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'absent_table', 0) USING (table_name)""")
+def dq09_tables(spark, sf):
+    expected = {_attached(spark, sf, "customer"): ["C_CUSTKEY", "c_name"], _attached(spark, sf, "nation"): ["n_name", "population", "phone"], "absent_table": ["id"]}
+    out = catalog.check_tables(spark, expected)
+    name = F.regexp_replace("table_name", "_[0-9]+$", "").alias("table_name")
+    return out.select(name, "table_exists", "missing_columns", "status", "row_count")
 
 
 @query("a26_ingestion_check", """SELECT count(*) AS rows, count(DISTINCT o_custkey) AS customers, min(o_totalprice) AS min_value, max(o_totalprice) AS max_value,
@@ -199,23 +229,27 @@ def u03(spark, sf):
 ORDER_DAY = "strftime({}, '%Y-%m-%d')"
 
 
+#: A third of the changed ids lie beyond the target's, and a third of the target's are not among them.
+CHANGED_ID = "o_custkey * 3 DIV 2"
+
+
 def _target(spark, sf):
     return base(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("amount"),
         F.lit("1990-01-01").alias("updated_at"),
-    ).where("id % 3 <> 0")
+    )
 
 
 def _changes(spark, sf):
     return base(spark, sf, "orders").select(
-        F.col("o_custkey").alias("id"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.expr(CHANGED_ID).alias("id"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("name"),
         F.col("o_totalprice").alias("amount"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("updated_at"),
-    ).where("id % 2 = 0")
+    )
 
 
-MERGE = """ target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount, '1990-01-01' AS updated_at FROM customer WHERE c_custkey % 3 <> 0),
- source AS (SELECT o_custkey AS id, 'Order ' || o_orderkey AS name, o_totalprice AS amount, strftime(o_orderdate, '%Y-%m-%d') AS updated_at FROM orders WHERE o_custkey % 2 = 0
-   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC) = 1)"""
+MERGE = """ target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount, '1990-01-01' AS updated_at FROM customer),
+ source AS (SELECT o_custkey * 3 // 2 AS id, 'Order ' || o_orderkey AS name, o_totalprice AS amount, strftime(o_orderdate, '%Y-%m-%d') AS updated_at FROM orders
+   QUALIFY row_number() OVER (PARTITION BY o_custkey * 3 // 2 ORDER BY strftime(o_orderdate, '%Y-%m-%d') DESC, o_totalprice DESC) = 1)"""
 
 
 @query("snk03_upsert", f"""WITH {MERGE} SELECT coalesce(t.id, s.id) AS id, coalesce(s.name, t.name) AS name, coalesce(s.amount, t.amount) AS amount,
@@ -258,10 +292,10 @@ def snk07(spark, sf):
 
 @query("snk08_update_only", """
 SELECT c.c_custkey AS id, c.c_name AS name, coalesce(s.owner, 'none') AS owner FROM customer c LEFT JOIN
- (SELECT o_custkey, max('owner_' || (o_orderkey % 6)) AS owner FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) s ON s.o_custkey = c.c_custkey""")
+ (SELECT o_custkey, max('owner_' || (o_orderkey % 6)) AS owner FROM orders GROUP BY 1) s ON s.o_custkey = c.c_custkey""")
 def snk08(spark, sf):
     target = base(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("none").alias("owner"))
-    owners = base(spark, sf, "orders").where("o_orderstatus = 'F'").select(
+    owners = base(spark, sf, "orders").select(
         F.col("o_custkey").alias("id"), F.concat(F.lit("owner_"), (F.col("o_orderkey") % 6).cast("string")).alias("owner")
     )
     return merge.update_only(target, owners, "id", ["owner"])
@@ -403,16 +437,64 @@ def state01(spark, sf):
     return out.select("job", F.date_format("last_run", stamp).alias("last_run"), F.date_format("last_success", stamp).alias("last_success"))
 
 
-@query("state02_job_progress", """
-SELECT job_id, total, processed, failed, total - processed AS remaining, round(processed / ((epoch_us(u) - epoch_us(s)) / 3.6e9), 4) AS rate_per_hour, 'running' AS status FROM (
-  SELECT user_id % 10 AS job_id, CAST(1000000 AS BIGINT) AS total, CAST(sum(event_id % 100) AS BIGINT) AS processed, CAST(sum(event_id % 3) AS BIGINT) AS failed, min(ts) AS s, max(ts) AS u FROM events GROUP BY 1)
-WHERE processed < 1000000 AND processed > 0 UNION ALL SELECT job_id, total, processed, failed, 0, round(processed / ((epoch_us(u) - epoch_us(s)) / 3.6e9), 4), 'completed' FROM (
-  SELECT user_id % 10 AS job_id, CAST(1000000 AS BIGINT) AS total, CAST(sum(event_id % 100) AS BIGINT) AS processed, CAST(sum(event_id % 3) AS BIGINT) AS failed, min(ts) AS s, max(ts) AS u FROM events GROUP BY 1)
-WHERE processed >= 1000000""")
-def state02(spark, sf):
+PROGRESS = """ p AS (SELECT user_id % 10 AS job_id, CAST(1000000 AS BIGINT) AS total, CAST(sum(event_id % 100) AS BIGINT) AS processed, CAST(sum(event_id % 3) AS BIGINT) AS failed,
+   min(ts) AS s, max(ts) AS u FROM events GROUP BY 1),
+ q AS (SELECT *, greatest(total - processed, 0) AS remaining, processed / ((epoch_us(u) - epoch_us(s)) / 3.6e9) AS rate FROM p),
+ progress AS (SELECT job_id, total, processed, failed, remaining, round(rate, 4) AS rate_per_hour, CASE WHEN remaining = 0 THEN 'completed' WHEN processed > 0 THEN 'running' ELSE 'pending' END AS status,
+   strftime(make_timestamp(CAST(epoch_us(TIMESTAMP '2024-01-31') + remaining / rate * 3.6e9 AS BIGINT)), '%Y-%m-%d %H:%M') AS estimated_completion,
+   CASE WHEN remaining = 0 THEN strftime(u, '%Y-%m-%d %H:%M:%S') END AS completed_at, strftime(u, '%Y-%m-%d %H:%M:%S') AS updated_at FROM q)"""
+
+
+def _progress(spark, sf):
     batches = base(spark, sf, "events").select(
         (F.col("user_id") % 10).alias("job_id"), F.lit(1000000).cast("bigint").alias("total"), (F.col("event_id") % 100).alias("processed"),
         (F.col("event_id") % 3).alias("failed"), F.col("ts").alias("started_at"), F.col("ts").alias("finished_at"),
     )
-    out = store.job_progress(batches, EVENTS_AS_OF)
-    return out.select("job_id", "total", "processed", "failed", "remaining", F.round("rate_per_hour", 4).alias("rate_per_hour"), "status")
+    return store.job_progress(batches, EVENTS_AS_OF)
+
+
+def _shown(progress):
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    return progress.select(
+        "job_id", "total", "processed", "failed", "remaining", F.round("rate_per_hour", 4).alias("rate_per_hour"), "status",
+        F.date_format("estimated_completion", "yyyy-MM-dd HH:mm").alias("estimated_completion"), F.date_format("completed_at", stamp).alias("completed_at"),
+        F.date_format("updated_at", stamp).alias("updated_at"),
+    )
+
+
+@query("state02_job_progress", f"WITH {PROGRESS} SELECT * FROM progress")
+def state02(spark, sf):
+    return _shown(_progress(spark, sf))
+
+
+@query("state02_status_listing", f"""WITH {PROGRESS}, listed AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY updated_at DESC, job_id) AS place FROM progress)
+SELECT status, job_id, updated_at, place FROM listed UNION ALL SELECT 'job 3', job_id, updated_at, 1 FROM progress WHERE job_id = 3""")
+def state02_listing(spark, sf):
+    """Listings by state and by job, newest first."""
+    progress = _progress(spark, sf).withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")).persist()
+    out = None
+    asked = [(s, {"status": s}) for s in ("completed", "running", "pending")] + [("job 3", {"job": 3})]
+    for name, which in asked:
+        rows = store.progress_listing(progress, **which).withColumn("place", F.monotonically_increasing_id())
+        rows = rows.select(F.lit(name).alias("status"), "job_id", "updated_at", "place")
+        out = rows if out is None else out.unionByName(rows)
+    place = F.row_number().over(Window.partitionBy("status").orderBy("place")).cast("bigint")
+    return out.withColumn("place", place)
+
+
+@query("state02_tracked_stream", """SELECT 'load' AS job_id, count(*) FILTER (WHERE event_type <> 'error') AS processed, count(*) FILTER (WHERE event_type = 'error') AS failed,
+  count(*) AS stored, 3 AS batches, true AS in_order FROM events""")
+def state02_stream(spark, sf):
+    """A streaming load of three files whose figures are counted while it writes; a second run adds nothing."""
+    root, events = new_folder(spark, "state02"), base(spark, sf, "events")
+    events.repartition(3).write.parquet(f"{root}/in")
+    for _ in range(2):
+        stream = jobs.file_stream(spark, f"{root}/in", events.schema, pattern="*.parquet", per_batch=1)
+        jobs.tracked(stream, f"{root}/out", f"{root}/progress", "load", F.col("event_type") == "error", f"{root}/checkpoint").awaitTermination()
+    figures = spark.read.parquet(f"{root}/progress").drop("job", "batch")
+    progress = store.job_progress(figures, EVENTS_AS_OF)
+    counted = figures.agg(F.count(F.lit(1)).cast("int").alias("batches"), F.bool_and(F.col("started_at") <= F.col("finished_at")).alias("in_order"))
+    stored = spark.read.parquet(f"{root}/out").agg(F.count(F.lit(1)).alias("stored"))
+    return progress.select("job_id", "processed", "failed").withColumns(
+        {"stored": stored.scalar(), "batches": counted.select("batches").scalar(), "in_order": counted.select("in_order").scalar()}
+    )

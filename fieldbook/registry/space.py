@@ -49,7 +49,9 @@ def g09(spark, sf):
 
 
 @query("ud01_sql_functions", f"""SELECT {ID}, round(CASE WHEN lat1 = lat2 AND lon1 = lon2 THEN 0.0 ELSE degrees(atan2(abs(e2 - e1),
-  sqrt(pow(111319.5 * (lat2 - lat1), 2) + pow(111319.5 * cos(radians(lat1)) * (lon2 - lon1), 2)))) END, 7) AS slope
+  sqrt(pow(111319.5 * (lat2 - lat1), 2) + pow(111319.5 * cos(radians(lat1)) * (lon2 - lon1), 2)))) END, 7) AS slope,
+  round(CASE WHEN lat1 = lat2 AND lon1 = lon2 THEN 0.0 ELSE 6371000.0 * acos(least(1.0, greatest(-1.0,
+  cos(radians(lat1)) * cos(radians(lat2)) * cos(radians(lon2) - radians(lon1)) + sin(radians(lat1)) * sin(radians(lat2))))) END, 1) AS metres
 FROM ({TWO_POINTS.format(lineitem="lineitem")})""")
 def ud01(spark, sf):
     from fieldbook.functions.sql_functions import register_geo_functions
@@ -57,7 +59,8 @@ def ud01(spark, sf):
     register_geo_functions(spark)
     points = _two_points(spark, sf)
     return spark.sql(
-        f"SELECT {ID}, round(slope_between(lat1, lon1, e1, lat2, lon2, e2), 7) AS slope FROM {{points}}", points=points
+        f"SELECT {ID}, round(slope_between(lat1, lon1, e1, lat2, lon2, e2), 7) AS slope, round(metres_between(lat1, lon1, lat2, lon2), 1) AS metres FROM {{points}}",
+        points=points,
     )
 
 
@@ -213,10 +216,10 @@ def g12(spark, sf):
 
 
 @query("j14_coordinate_join", """SELECT p.parcel_id, s.parcel_id AS result_id FROM parcels p JOIN parcels s
-  ON p.latitude = s.latitude AND p.longitude = s.longitude WHERE s.k % 2 = 0""", "parcels")
+  ON p.latitude = s.latitude AND p.longitude = s.longitude""", "parcels")
 def j14(spark, sf):
     p = table(spark, sf, "parcels")
-    results = p.where("k % 2 = 0").select(F.col("parcel_id").alias("result_id"), "latitude", "longitude")
+    results = p.select(F.col("parcel_id").alias("result_id"), "latitude", "longitude")
     return spatial.coordinate_join(p.select("parcel_id", "latitude", "longitude"), results).select("parcel_id", "result_id")
 
 
@@ -321,15 +324,16 @@ def g03(spark, sf):
 def _soil_tables(spark, sf):
     part = base(spark, sf, "part")
     k = F.col("p_partkey")
-    mapunits = part.where("p_partkey % 7 <> 0").select(k.alias("mukey"), F.col("p_name").alias("muname"))
+    # Rows whose reference is empty join with nothing; every row of the tables is read.
+    mapunits = part.select(F.when(k % 7 != 0, k).alias("mukey"), F.col("p_name").alias("muname"))
     li = base(spark, sf, "lineitem")
     lk = F.col("l_partkey")
-    components = part.where("p_partkey % 5 <> 0").select(
-        k.alias("mukey"), (k * 10).alias("cokey"), F.col("p_brand").alias("compname"),
+    components = part.select(
+        F.when(k % 5 != 0, k).alias("mukey"), (k * 10).alias("cokey"), F.col("p_brand").alias("compname"),
         (F.col("p_size") * 2).cast("bigint").alias("comppct_r"), F.when(k % 3 == 0, "Yes").otherwise("No").alias("majcompflag"),
         (k % 24).cast("double").alias("slope_r"), F.when(k % 4 != 0, F.col("p_type")).alias("hydgrp"),
     )
-    horizons = li.where("l_linenumber <= 2").select(
+    horizons = li.select(
         (lk * 10).alias("cokey"), (F.col("l_quantity")).alias("hzdept_r"), (F.col("l_quantity") + 20).alias("hzdepb_r"),
         F.when(F.col("l_discount") > 0, F.col("l_discount") * 50).alias("om_r"), (F.lit(5.0) + F.col("l_tax") * 40).alias("ph1to1h2o_r"),
         F.col("l_quantity").alias("cec7_r"), F.lit(None).cast("double").alias("awc_r"), F.col("l_quantity").alias("sandtotal_r"),
@@ -342,11 +346,11 @@ def _soil_tables(spark, sf):
 SOIL = f"""{SQUARES},
  comp AS (SELECT o.*, coalesce(CASE WHEN k.p_partkey % 7 <> 0 THEN k.p_name END, 'Unknown') AS map_unit_name, k.p_partkey * 10 AS cokey, k.p_brand AS soil_series, k.p_size * 2 AS pct,
    k.p_partkey % 3 = 0 AS major, k.p_partkey % 24 AS slope, coalesce(CASE WHEN k.p_partkey % 4 <> 0 THEN k.p_type END, 'Unknown') AS hydrologic_group
-   FROM overlap o JOIN part k ON k.p_partkey = o.mukey WHERE k.p_partkey % 5 <> 0 AND (k.p_partkey % 3 = 0 OR k.p_size * 2 >= 15)),
+   FROM overlap o JOIN part k ON CASE WHEN k.p_partkey % 5 <> 0 THEN k.p_partkey END = o.mukey WHERE k.p_partkey % 3 = 0 OR k.p_size * 2 >= 15),
  scored AS (SELECT *, CASE WHEN coverage_percent >= 75 AND pct >= 75 THEN 0.95 WHEN coverage_percent >= 50 AND pct >= 50 THEN 0.85 WHEN coverage_percent >= 25 AND pct >= 25 THEN 0.75
      WHEN coverage_percent >= 10 AND pct >= 15 THEN 0.65 ELSE 0.5 END AS confidence_score,
    CASE WHEN coverage_percent >= 75 AND major THEN 'Excellent' WHEN coverage_percent >= 50 AND major THEN 'Good' WHEN coverage_percent >= 25 OR major THEN 'Fair' ELSE 'Poor' END AS match_quality FROM comp),
- hor AS (SELECT l_partkey * 10 AS cokey, l_quantity AS q, CASE WHEN l_discount > 0 THEN l_discount * 50 END AS om, 5.0 + l_tax * 40 AS ph FROM lineitem WHERE l_linenumber <= 2),
+ hor AS (SELECT l_partkey * 10 AS cokey, l_quantity AS q, CASE WHEN l_discount > 0 THEN l_discount * 50 END AS om, 5.0 + l_tax * 40 AS ph FROM lineitem),
  prof AS (SELECT s.*, coalesce(h.om, 2.0) AS om, coalesce(h.ph, 6.5) AS ph, coalesce(h.q, 10.0) AS cec, coalesce(h.q, 40.0) AS sand, coalesce(100 - h.q, 40.0) AS silt, coalesce(h.q, 20.0) AS clay
    FROM scored s LEFT JOIN hor h ON h.cokey = s.cokey WHERE h.q <= 30 OR h.q IS NULL)"""
 
@@ -377,8 +381,8 @@ def j08(spark, sf):
 
 @query("j09_surface_horizons", """
 SELECT p_partkey * 10 AS cokey, coalesce(q + 20, 30.0) AS sampling_depth_cm, round(coalesce(om, 2.0), 4) AS organic_matter_pct FROM part
-LEFT JOIN (SELECT l_partkey, l_quantity AS q, CASE WHEN l_discount > 0 THEN l_discount * 50 END AS om FROM lineitem WHERE l_linenumber <= 2) h ON h.l_partkey = p_partkey
-WHERE p_partkey % 5 <> 0 AND (q <= 30 OR q IS NULL)""")
+LEFT JOIN (SELECT l_partkey, l_quantity AS q, CASE WHEN l_discount > 0 THEN l_discount * 50 END AS om FROM lineitem) h ON h.l_partkey = p_partkey
+WHERE q <= 30 OR q IS NULL""")
 def j09(spark, sf):
     _, components, horizons = _soil_tables(spark, sf)
     out = soil.attach_horizons(components.withColumn("slope_percent", F.col("slope_r")), horizons)

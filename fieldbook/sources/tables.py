@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,7 +150,15 @@ def job_progress(batches: DataFrame, as_of, job: str = "job_id") -> DataFrame:
         F.col("rate_per_hour") > 0, F.timestamp_micros((F.unix_micros(at) + left / F.col("rate_per_hour") * 3.6e9).cast("bigint"))
     )
     status = F.when(left == 0, "completed").when(F.col("processed") > 0, "running").otherwise("pending")
-    return out.withColumns({"remaining": left, "estimated_completion": eta, "status": status})
+    done = F.when(left == 0, F.col("updated_at").cast("timestamp"))
+    return out.withColumns({"remaining": left, "estimated_completion": eta, "completed_at": done, "status": status})
+
+
+def progress_listing(progress: DataFrame, job: str | None = None, status: str | None = None, key: str = "job_id") -> DataFrame:
+    """Jobs, newest change first, of one name or in one state where given."""
+    rows = progress.where(F.col(key) == job) if job is not None else progress
+    rows = rows.where(F.col("status") == status) if status is not None else rows
+    return rows.orderBy(F.desc("updated_at"), key)
 
 
 # Names and types --------------------------------------------------------------------------------
@@ -175,22 +182,6 @@ def column_type(name: str, kind: str) -> str:
     return {"int": "BIGINT", "float": "DOUBLE"}.get(kind, kind.upper())
 
 
-def stored_assignments(df: DataFrame, table: str) -> None:
-    """Create a catalogue table from a query; fails when it exists."""
-    df.writeTo(table).using("parquet").create()
-
-
 def with_row_key(df: DataFrame, *cols: str) -> DataFrame:
     """A content key in place of an auto-increment."""
     return df.withColumn("row_key", surrogate_key(*cols))
-
-
-def table_info(spark: SparkSession, name: str) -> DataFrame:
-    """Columns of a catalogue table with its row count."""
-    try:
-        df = spark.table(name)
-    except AnalysisException as e:
-        raise FileNotFoundError(name) from e
-    cols = [(c.name, c.dataType, c.nullable) for c in spark.catalog.listColumns(name)]
-    listing = spark.createDataFrame(cols, "column_name string, data_type string, nullable boolean")
-    return listing.withColumn("row_count", df.agg(F.count(F.lit(1)).alias("n")).scalar())

@@ -6,9 +6,10 @@ pass another trigger to keep it running. Checkpoints and outputs live in folders
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -90,6 +91,25 @@ def stream_upsert(changes: DataFrame, root: str, keys: Sequence[str], newest: Se
     return run(changes, lambda w: w.outputMode(mode).foreachBatch(write).start(), checkpoint, **kw)
 
 
+def tracked(df: DataFrame, path: str, progress: str, job: str, failed: Column, checkpoint: str, total: int | None = None, **kw) -> StreamingQuery:
+    """Write each micro-batch below ``path`` and its figures below ``progress``: job, total, processed, failed, start and finish.
+
+    Rows are counted while the batch is written. A repeated batch overwrites its own rows and figures, so counts stay right
+    across restarts; ``job_progress`` adds the figures up.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen, started = Observation(), dt.datetime.now(dt.timezone.utc)
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(failed).alias("failed"))
+        counted.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        got = seen.get
+        row = (job, total if total is not None else got["rows"], got["rows"] - got["failed"], got["failed"], started, dt.datetime.now(dt.timezone.utc))
+        figures = batch.sparkSession.createDataFrame([row], "job_id string, total bigint, processed bigint, failed bigint, started_at timestamp, finished_at timestamp")
+        figures.write.mode("overwrite").parquet(f"{progress}/job={job}/batch={number}")
+
+    return run(df, lambda w: w.foreachBatch(write).start(), checkpoint, **kw)
+
+
 def route_errors(documents: DataFrame, good: str, bad: str, checkpoint: str, **kw) -> StreamingQuery:
     """Documents that parse go to one table, the others with their text to an error table."""
     marked = documents.withColumn("is_malformed", is_salvaged(parse_or_salvage(F.col("raw_data"))))
