@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.operators import clustering, crm, models, reports, rules
+from fieldbook.operators import clustering, crm, hierarchy, models, reports, rules
 from fieldbook.session import cut_lineage
 
 IDENTITY = ["contact_id", "firstname", "lastname", "email", "phone", "company", "company_name", "owner_id", "created_epoch", "modified_epoch"]
@@ -100,3 +100,21 @@ def train_session(frame: DataFrame, key: str, label: str, kinds: Sequence[str],
         row = metrics.select(F.lit(family).alias("family"), F.lit(kind).alias("model"), F.col("auc").alias("metric"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def segment_session(frame: DataFrame) -> DataFrame:
+    """(family, model, metric) of the segmentation: k-means with the chosen k against Ward's clusters of the same number, by silhouette."""
+    _, model, labelled = segment(frame)
+    labelled = cut_lineage(labelled.select("contact_id", "point", "cluster"))
+    ward = cut_lineage(hierarchy.agglomerative(labelled.drop("cluster"), len(model.clusterCenters())))
+    rows = [
+        clustering.quality(rows).select(F.lit("customer_segmentation").alias("family"), F.lit(name).alias("model"), F.col("silhouette").alias("metric"))
+        for name, rows in (("kmeans", labelled), ("hierarchical", ward))
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+def deal_session(deals: DataFrame, kinds: Sequence[str], root: str, session: str, trees: int = 100) -> DataFrame:
+    """Closure models of every kind on closed deals: (family, model, metric) rows, models stored."""
+    closed = cut_lineage(deals.where("is_closed").select("deal_id", "is_won", *DEAL_FEATURES))
+    return train_session(closed, "deal_id", "is_won", kinds, ["deal_id", "stage_order"], root, session, "predictive_analytics", trees)

@@ -13,7 +13,6 @@ from fieldbook.registry.crm import LEADS, T, _deals, _leads
 from fieldbook.session import cut_lineage, new_folder
 
 AS_OF = dt.datetime(2002, 1, 1)
-TREES = 10
 SKIP = [*training.IDENTITY, *training.LEAD_LEAKS, "qualification_score"]
 
 
@@ -58,7 +57,7 @@ def ml06(spark, sf):
     """Three classifiers, evaluated on the held-out part (also ML-08)."""
     frame, out = _lead_frame(spark, sf), None
     for kind in ("random_forest", "gradient_boosting", "logistic_regression"):
-        _, metrics = training.fit_and_evaluate(frame, "contact_id", "converted", kind, SKIP, trees=TREES)
+        _, metrics = training.fit_and_evaluate(frame, "contact_id", "converted", kind, SKIP)
         row = metrics.select(F.lit(kind).alias("model"), "*")
         out = row if out is None else out.unionByName(row)
     return out
@@ -68,14 +67,14 @@ def ml06(spark, sf):
 def ml07(spark, sf):
     frame = _churn_frame(spark, sf)
     exclude = [*training.IDENTITY, *training.CHURN_LEAKS]
-    _, table = models.grid_search(frame, "churned", "logistic_regression", {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]}, exclude, folds=5)
+    _, table = models.grid_search(frame, "churned", "logistic_regression", models.full_grid("logistic_regression", frame.count()), exclude, folds=5)
     return table
 
 
 @query("ml09_importance")
 def ml09(spark, sf):
     frame = _lead_frame(spark, sf)
-    fitted = models.train_classifier(frame, "converted", "random_forest", SKIP, trees=TREES)
+    fitted = models.train_classifier(frame, "converted", "random_forest", SKIP)
     return models.importance(fitted, frame)
 
 
@@ -89,7 +88,7 @@ def ml10(spark, sf):
 @query("ml12_churn_scores")
 def ml12(spark, sf):
     frame = _churn_frame(spark, sf)
-    fitted = models.train_classifier(frame, "churned", "random_forest", [*training.IDENTITY, *training.CHURN_LEAKS], trees=TREES)
+    fitted = models.train_classifier(frame, "churned", "random_forest", [*training.IDENTITY, *training.CHURN_LEAKS])
     out = training.score_churn(fitted, frame)
     return out.select("contact_id", "churn_risk_score", "churn_risk_category", "churn_risk_percentile", "high_churn_risk", "immediate_attention")
 
@@ -130,7 +129,7 @@ def ml18(spark, sf):
 @query("ml20_closure_model")
 def ml20(spark, sf):
     deals = cut_lineage(_deals(spark, sf).where("is_closed").select("deal_id", "is_won", *training.DEAL_FEATURES))
-    _, metrics = training.fit_and_evaluate(deals, "deal_id", "is_won", "random_forest", ["deal_id", "stage_order"], trees=TREES)
+    _, metrics = training.fit_and_evaluate(deals, "deal_id", "is_won", "random_forest", ["deal_id", "stage_order"])
     return metrics
 
 
@@ -141,7 +140,7 @@ def ml21(spark, sf):
     out = None
     for kind in ("random_forest", "gradient_boosting", "linear_regression"):
         for label, skip in (("amount", []), ("days_to_close", [])):
-            fitted = models.train_regressor(train, label, kind, ["deal_id", "side", *skip], trees=5)
+            fitted = models.train_regressor(train, label, kind, ["deal_id", "side", *skip])
             row = models.evaluate_regression(fitted.transform(test.where(F.col(label).isNotNull())), label)
             row = row.select(F.lit(kind).alias("model"), F.lit(label).alias("target"), "*")
             out = row if out is None else out.unionByName(row)
@@ -151,21 +150,31 @@ def ml21(spark, sf):
 @query("ml22_deal_outcomes")
 def ml22(spark, sf):
     deals = cut_lineage(_deals(spark, sf))
-    fitted = training.deal_models(deals, trees=TREES)
+    fitted = training.deal_models(deals)
     out = training.score_deals(fitted, deals.where("NOT is_closed"))
     return out.select("deal_id", "closure_probability", "closure_likelihood", "predicted_revenue", "predicted_days", "estimated_close")
 
 
 @query("ml23_best_models")
 def ml23(spark, sf):
-    """Train every kind for two families, store them, and grade the best (also ML-24)."""
+    """Train the four families, store their models, and grade the best of each (also ML-24). Boosting is left to ``ml06``."""
     root = new_folder(spark, "ml23")
     kinds = ("random_forest", "logistic_regression")
-    lead = training.train_session(_lead_frame(spark, sf), "contact_id", "converted", kinds, SKIP, root, "s1", "lead_scoring", TREES)
-    churn = training.train_session(
-        _churn_frame(spark, sf), "contact_id", "churned", kinds, [*training.IDENTITY, *training.CHURN_LEAKS], root, "s1", "churn_prediction", TREES
-    )
-    return models.best_models(lead.unionByName(churn))
+    lead = training.train_session(_lead_frame(spark, sf), "contact_id", "converted", kinds, SKIP, root, "s1", "lead_scoring")
+    churn = training.train_session(_churn_frame(spark, sf), "contact_id", "churned", kinds, [*training.IDENTITY, *training.CHURN_LEAKS], root, "s1", "churn_prediction")
+    deals = training.deal_session(_deals(spark, sf), kinds, root, "s1")
+    segments = training.segment_session(_segment_frame(spark, sf))
+    return models.best_models(lead.unionByName(churn).unionByName(deals).unionByName(segments))
+
+
+@query("ml04_label_codes", f"""WITH {LEADS} SELECT contact_id, CAST(dense_rank() OVER (ORDER BY coalesce(company_state, 'Unknown')) - 1 AS DOUBLE) AS state_code,
+  CAST(dense_rank() OVER (ORDER BY coalesce(domain, 'Unknown')) - 1 AS DOUBLE) AS domain_code FROM features""", T)
+def ml04_codes(spark, sf):
+    """Label codes of two text columns over all leads."""
+    frame = _lead_frame(spark, sf)
+    columns = ["company_state", "email_domain"]
+    coded = models.prepared(frame, [], [], columns, models.label_codes(frame, columns))
+    return coded.select("contact_id", F.col("company_state_code").alias("state_code"), F.col("email_domain_code").alias("domain_code"))
 
 
 @query("ml24_stored_model")

@@ -61,6 +61,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a training table for each task: an iteration over fewer costs more in starting tasks than in work.
+ROWS_PER_TASK = 50_000
+
+
+def in_new_session(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read by a session of its own.
+
+    A classifier's training summary keeps the session it was fitted in, and a session that has observed metrics cannot be sent
+    to tasks; models fitted on this frame can be.
+    """
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    rows = df.sparkSession.newSession().read.schema(df.schema).parquet(folder)
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
 #: Rows of a few numbers that may be broadcast; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 

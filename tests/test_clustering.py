@@ -142,6 +142,33 @@ def test_classifier_learns_and_reloads(spark):
     assert models.importance(fitted, df).count() >= 2
 
 
+def test_models_work_in_a_session_that_observes(spark):
+    """Observed metrics stay in the session; models fitted afterwards still reach the tasks, in a search too."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("id").alias("n")).collect()
+    assert seen.get["n"] == 5
+    df = spark.range(200).select("id", (F.col("id") % 2).alias("y"), (F.col("id") % 2 + F.rand(1)).alias("x"), F.concat(F.lit("v"), (F.col("id") % 40).cast("string")).alias("t"))
+    for kind in ("logistic_regression", "random_forest"):
+        fitted = models.train_classifier(df, "y", kind, ["id"], trees=3)
+        assert fitted.transform(df).select("prediction").distinct().count() == 2
+    best, table = models.grid_search(df, "y", "logistic_regression", {"regParam": [0.0, 0.1]}, ["id"], folds=2)
+    assert table.count() == 2 and best.transform(df).count() == 200
+
+
+def test_label_codes(spark):
+    """Codes follow the order of the text; null is a value; values that training did not see come after the last."""
+    df = spark.createDataFrame([("b", "x"), ("a", None), (None, "y"), ("c", "x")], "s string, t string")
+    codes = models.label_codes(df, ["s", "t"])
+    assert {(r["column"], r["value"]): r["code"] for r in codes.table.collect()} == {
+        ("s", "Unknown"): 0, ("s", "a"): 1, ("s", "b"): 2, ("s", "c"): 3, ("t", "Unknown"): 0, ("t", "x"): 1, ("t", "y"): 2,
+    }
+    new = models.prepared(spark.createDataFrame([("z", "x"), (None, None)], "s string, t string"), [], [], ["s", "t"], codes)
+    assert sorted(tuple(r) for r in new.select("s_code", "t_code").collect()) == [(0.0, 0.0), (4.0, 1.0)]
+    assert models.label_codes(df, []).sizes == {}
+
+
 def test_grades():
     assert [models.grade(m) for m in (0.95, 0.85, 0.75, 0.65, 0.5)] == [95, 85, 75, 65, 50]
     assert [models.grade_clusters(k) for k in (5, 3, 9, 1)] == [90, 80, 70, 50]

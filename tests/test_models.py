@@ -21,7 +21,7 @@ SHAPES = {
     "ml16_hierarchical": (["cluster"], []),
     "ml18_predicted_segments": (["cluster"], []),
     "ml20_closure_model": (None, ["accuracy", "auc"]),
-    "ml21_regressors": (["model", "target"], []),
+    "ml21_regressors": (["model", "target", "metric"], []),
     "ml22_deal_outcomes": (["deal_id"], ["closure_probability"]),
     "ml23_best_models": (None, []),
     "ml24_stored_model": (None, []),
