@@ -27,9 +27,9 @@ from fieldbook.session import shuffle_width
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM + 1  # runs of GRAM bytes in a window
 #: Texts are taken together up to so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
-#: Bytes of text for each bucket of anchors.
-BUCKET_BYTES = 24 << 20
+BLOCK_BYTES = 1 << 19
+#: Bytes of text whose entries are sorted together before they are sent, and of the text for each bucket of anchors.
+PACK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 VALUES = series(256, 3)
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -113,7 +113,7 @@ def merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
 def equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Whether the stretches of the data that start at a and at b hold the same bytes."""
     out = size_a == size_b
-    for part in np.array_split(np.flatnonzero(out), int(out.sum()) // 20_000 + 1):
+    for part in np.array_split(np.flatnonzero(out), int(out.sum()) // 5_000 + 1):
         if len(part):
             size = size_a[part]
             heads = np.cumsum(size) - size
@@ -134,8 +134,11 @@ def packed_anchors(df: DataFrame, n_buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 10_000):
-                yield from pack(whole.slice(at, 10_000))
+            size = np.cumsum(np.diff(text_bytes(whole.column(2))[1]))
+            cuts = np.flatnonzero(np.diff(size // PACK_BYTES, prepend=0)).tolist()
+            for at, to in zip([0, *cuts], [*cuts, whole.num_rows], strict=True):
+                for part in range(at, to, 10_000):
+                    yield from pack(whole.slice(part, min(to - part, 10_000)))
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).fill_null(int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
