@@ -172,7 +172,10 @@ def packed_anchors(df: DataFrame, n_buckets: int) -> DataFrame:
         entries["anchor"], entries["run"], entries["owner"] = gram[new], run_hash[new], owner[new]
         entries["place"], entries["before"], entries["after"] = place[new], before[new], after[new] + 128
         # place minus first window is 0 to 68, last window minus place is -68 to 0
-        bucket = ((entries["anchor"] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+        # anchors are least hashes, so their own high bits are nearly all low: they are mixed before they are dealt out
+        bucket = ((mix(entries["anchor"]) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        entries, bucket = entries[by_bucket], bucket[by_bucket]
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         rows = {"bucket": [], "entries": [], "keys": [], "ranges": []}
         for n in np.flatnonzero(np.diff(cuts)):
