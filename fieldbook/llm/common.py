@@ -31,6 +31,13 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def share_drawn(hashed: Column, most: int, count: int) -> Column:
+    """True for about ``most`` of ``count`` rows, told by a 64-bit hash of each, however many rows there are."""
+    if count <= most:
+        return F.lit(True)
+    return hashed < F.lit(int(most / count * 2.0**64) - 2**63)
+
+
 def training_fold(doc_id: Column) -> Column:
     """True for rows whose labels may be learnt: crc32 of the id as text, modulo 3, is not 1. A null id is never used."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 != 1, F.lit(False))
@@ -52,7 +59,7 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]
         for batch in batches:
             columns = fn(batch)
             yield pa.RecordBatch.from_arrays(
-                [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in arrow], schema=arrow
+                [c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in arrow], schema=arrow
             )
 
     return df.mapInArrow(run, schema)

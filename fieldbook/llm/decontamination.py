@@ -1,6 +1,7 @@
 """Benchmark items in training text: every passage is a query to a BM25 index of the items, searched with block-max WAND.
 
-The index holds the items, not the corpus, and is shipped to the tasks in blocks of a bounded number of items. For all passages
+The index holds the items, not the corpus, and is shipped to the tasks in blocks of a bounded number of items, all of them with
+the document frequencies and mean length of all items. For all passages
 of a batch at once, the best impacts of their words in each block of postings are added up; only passages that could reach
 some item's threshold are searched. What the search returns is verified on question and answer against the document's words.
 """
@@ -27,8 +28,9 @@ PASSAGE, STEP = 96, 48
 LEAST_SCORE = 0.5
 #: Words of the runs that are verified, and the share of the runs of question and of answer that a document must hold.
 RUN, LEAST_OVERLAP = 5, 0.6
-#: Items in one shipped index, and in one block of postings: small blocks bound a passage's scores tightly.
-ITEMS, BLOCK = 500, 2
+#: Items in one index, indexes that a scan of the texts searches, and items in one block of postings: small blocks bound a passage's
+#: scores tightly.
+ITEMS, INDEXES, BLOCK = 500, 8, 2
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -56,6 +58,27 @@ def words_of(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+@dataclass
+class Statistics:
+    """What weighs a term: number of items, their mean length in words, and in how many items each term stands."""
+
+    n: int
+    mean: float
+    terms: np.ndarray
+    df: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Statistics:
+        words = words_of(texts)
+        sizes = np.array([len(w) for w in words])
+        terms, df = np.unique(np.concatenate([*(np.unique(w) for w in words), np.zeros(0, np.uint64)]), return_counts=True)
+        return cls(len(texts), max(1.0, sizes[sizes > 0].mean() if (sizes > 0).any() else 1.0), terms, df)
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        df = self.df[np.searchsorted(self.terms, terms)] if len(terms) else np.zeros(0)
+        return np.log(1 + (self.n - df + 0.5) / (df + 0.5))
+
+
 @dataclass
 class Index:
     """Postings by term: items ascending, impacts as shares of the item's threshold, and the best impact of each block."""
@@ -69,17 +92,16 @@ class Index:
     answers: list[tuple[int, np.ndarray]]
 
     @classmethod
-    def build(cls, rows: list[tuple], least_score: float = LEAST_SCORE) -> Index:
-        """An index of (id, text); a text without words is in no postings."""
+    def build(cls, rows: list[tuple], least_score: float = LEAST_SCORE, statistics: Statistics | None = None) -> Index:
+        """An index of (id, text), weighed by ``statistics`` of these and perhaps more items; a text without words is in no postings."""
         texts = [t or "" for _, t in rows]
-        words = words_of(texts)
-        sizes = np.array([len(w) for w in words])
-        mean = max(1.0, sizes[sizes > 0].mean() if (sizes > 0).any() else 1.0)
+        words, statistics = words_of(texts), statistics or Statistics.of(texts)
+        sizes, mean = np.array([len(w) for w in words]), statistics.mean
         term = np.concatenate([*(np.unique(w) for w in words), np.zeros(0, np.uint64)])
         item = np.repeat(np.arange(len(words)), [len(np.unique(w)) for w in words])
         often = np.concatenate([*(np.unique(w, return_counts=True)[1] for w in words), np.zeros(0, np.int64)])
-        terms, at, df = np.unique(term, return_inverse=True, return_counts=True)
-        idf = np.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
+        terms, at = np.unique(term, return_inverse=True)
+        idf = statistics.idf(terms)
         weight = idf[at] * often * (K1 + 1) / (often + K1 * (1 - B + B * sizes[item] / mean)) if len(item) else often.astype(float)
         full = np.bincount(item, weights=weight, minlength=len(rows))
         reach = np.minimum(1, (PASSAGE - STEP) / np.maximum(sizes, 1))
@@ -173,36 +195,41 @@ def leaks(
 
     Returns id_col, ``item_id``, ``score`` (as a multiple of the item's threshold), ``question_overlap`` and
     ``answer_overlap``: shares of the runs of five words that stand in the row's whole text. Null and empty texts or items match
-    nothing; an item without an answer is judged by its question; repeated rows or items give a pair each. The items are read
-    in blocks of ITEMS, each shipped whole, so their number bounds the passes over the text, not the memory.
+    nothing; an item without an answer is judged by its question; repeated rows or items give a pair each. The items (a
+    benchmark, which the driver can hold) are weighed together and searched in INDEXES indexes of ITEMS a scan, so scores do not
+    depend on their number and more items cost more scans, not more memory in a task. An item is found through a passage that
+    reaches half of its own score: one whose question and answer stand far apart, each below that, is not.
     """
     kinds, items = dict(df.dtypes), benchmark.where(F.length(F.trim(F.coalesce(item_text, F.lit("")))) > 0).select(item_col, item_text)
-    n_blocks = max(1, -(-items.count() // ITEMS))
     item_kind = dict(benchmark.dtypes)[item_col]
     schema = f"`{id_col}` {kinds[id_col]}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
     parts = []
-    for n in range(n_blocks):
-        some = items.where(F.pmod(F.xxhash64(item_col, item_text), F.lit(n_blocks)) == n).orderBy(item_col, item_text).collect()
-        parts.append(_against(df.select(text_col, id_col), Index.build([tuple(r) for r in some]), schema))
+    rows = [tuple(r) for r in items.orderBy(item_col, item_text).collect()]
+    statistics = Statistics.of([t for _, t in rows])
+    for at in range(0, max(1, len(rows)), ITEMS * INDEXES):
+        group = rows[at : at + ITEMS * INDEXES]
+        indexes = [Index.build(group[i : i + ITEMS], statistics=statistics) for i in range(0, max(1, len(group)), ITEMS)]
+        parts.append(_against(df.select(text_col, id_col), indexes, schema))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _against(df: DataFrame, index: Index, schema: str) -> DataFrame:
-    shipped = df.sparkSession.sparkContext.broadcast(index)
+def _against(df: DataFrame, indexes: list[Index], schema: str) -> DataFrame:
+    shipped = df.sparkSession.sparkContext.broadcast(indexes)
     id_col = df.columns[1]
 
     def run(batch: pa.RecordBatch) -> dict:
-        index, rows = shipped.value, []
+        rows = []
         for at, _, hashes, owner in text_words(batch.column(0)):
-            for text, item, score in index.candidates(hashes, owner) if len(hashes) else []:
-                lo, hi = np.searchsorted(owner, (text, text + 1))
-                words = hashes[lo:hi]
-                question, answer = _share(index.questions[item], words), _share(index.answers[item], words)
-                if question >= LEAST_OVERLAP and answer >= LEAST_OVERLAP:
-                    rows.append((at + text, index.ids[item], score, question, answer))
+            for index in shipped.value if len(hashes) else []:
+                for text, item, score in index.candidates(hashes, owner):
+                    lo, hi = np.searchsorted(owner, (text, text + 1))
+                    words = hashes[lo:hi]
+                    question, answer = _share(index.questions[item], words), _share(index.answers[item], words)
+                    if question >= LEAST_OVERLAP and answer >= LEAST_OVERLAP:
+                        rows.append((at + text, index.ids[item], score, question, answer))
         rows.sort(key=lambda r: (r[0], r[2]))
         return {
             id_col: batch.column(1).take(pa.array([r[0] for r in rows], pa.int64())),

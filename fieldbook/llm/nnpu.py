@@ -11,10 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import map_batches
+from fieldbook.llm.common import map_batches, share_drawn
 from fieldbook.llm.words import blocks, word_hashes, word_spans
 
 #: Rows of features that are fitted on, at most about so many of each sort, whatever the size of the tables.
@@ -77,8 +78,11 @@ class Model:
 
 
 def standard(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Distances from the centre, drawn in for short texts, of which little is known."""
-    z = np.clip((x - centre) / scale, -6, 6) * x[:, -1:]
+    """Distances from the centre in single precision, drawn in for short texts, of which little is known."""
+    z = np.subtract(x, centre.astype(np.float32), dtype=np.float32)
+    z /= scale.astype(np.float32)
+    np.clip(z, -6, 6, out=z)
+    z *= x[:, -1:]
     z[:, -1] = 0
     return z
 
@@ -110,6 +114,17 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(np.min((u + slack * (1 - p) + 0.2 * slack) / p), 0.05, 0.98))
 
 
+def moments(x: np.ndarray, rows: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of every column, summed over a few rows at a time."""
+    total, squares = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for at in range(0, len(x), rows):
+        part = x[at : at + rows].astype(np.float64)
+        total += part.sum(0)
+        squares += (part * part).sum(0)
+    mean = total / len(x)
+    return mean, np.sqrt(np.maximum(squares / len(x) - mean * mean, 0)) + 0.01
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model:
     """A network with one hidden layer under the non-negative risk.
 
@@ -121,22 +136,22 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model
         width = positive.shape[1] if positive.ndim == 2 and positive.shape[1] else WIDTH
         return Model(np.zeros(width), np.ones(width), [np.zeros((width, 1)), np.zeros(1), np.zeros(1), np.zeros(1)], 0.5)
     rng = np.random.default_rng(seed)
-    centre, scale = unlabelled.mean(0), unlabelled.std(0) + 0.01
-    p, u = (standard(x, centre, scale).astype(np.float64) for x in (positive, unlabelled))
+    centre, scale = moments(unlabelled)
+    p, u = standard(positive, centre, scale), standard(unlabelled, centre, scale)
 
     line = [np.zeros(p.shape[1]), np.zeros(1)]
 
     def apart(_):
         out = [1e-3 * line[0], np.zeros(1)]
         for x, label in ((p, 1.0), (u, 0.0)):
-            x = x[rng.integers(0, len(x), 2000)]
+            x = x[rng.integers(0, len(x), 2000)].astype(np.float64)
             error = (sigmoid(x @ line[0] + line[1]) - label) / len(x)
             out[0] += x.T @ error
             out[1] += error.sum()
         return out
 
     descend(line, apart, 400)
-    prior = class_prior(p @ line[0], u @ line[0])
+    prior = class_prior(*(x @ line[0].astype(np.float32) for x in (p, u)))
 
     weights = [rng.normal(0, 1 / np.sqrt(p.shape[1]), (p.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.3, HIDDEN), np.zeros(1)]
 
@@ -152,7 +167,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model
     size_p, size_u = max(1, min(512, len(p))), max(1, min(1024, len(u)))
 
     def risk(_):
-        xp, xu = p[rng.integers(0, len(p), size_p)], u[rng.integers(0, len(u), size_u)]
+        xp, xu = (x[rng.integers(0, len(x), n)].astype(np.float64) for x, n in ((p, size_p), (u, size_u)))
         sp, su = sigmoid(margin(xp)), sigmoid(margin(xu))
         gp, gu = sp * (1 - sp) / len(xp), su * (1 - su) / len(xu)
         negative = su.mean() - prior * sp.mean()  # sigmoid loss of calling a row negative is its score
@@ -169,27 +184,40 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> Model
 def sample_features(df: DataFrame, labels: DataFrame, positive: Column, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of about POSITIVES trusted and UNLABELLED other rows, drawn by a hash of the id.
 
-    ``positive`` says which rows of ``labels`` are trusted. Only the ids drawn are broadcast, so their number is bounded.
+    ``positive`` says which rows of ``labels`` are trusted. Only the ids drawn are broadcast, so their number is bounded. Rows
+    come in the order of their hashes, so the fit does not depend on how the files are laid out. It is an error if rows are
+    there but none is drawn.
     """
-    trusted = labels.where(positive).select(id_col).distinct()
-    draw = lambda frame, most, seed: frame.where(
-        F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, most / max(1, frame.count())))
-    )
-    drawn = draw(trusted, POSITIVES, 1).withColumn("_sort", F.lit(1))
-    rows = df.select(id_col, text_col)
-    chosen = rows.join(F.broadcast(drawn), id_col).select(text_col, "_sort").unionByName(
-        draw(rows, UNLABELLED, 2).select(text_col, F.lit(0).alias("_sort"))
+    trusted, rows = labels.where(positive).select(id_col).distinct(), df.select(id_col, text_col)
+    drawn = trusted.where(share_drawn(F.xxhash64(id_col, F.lit(1)), POSITIVES, trusted.count())).withColumn("_sort", F.lit(1))
+    hashed, total = F.xxhash64(id_col, text_col, F.lit(2)), df.count()
+    chosen = rows.join(F.broadcast(drawn), id_col).select(text_col, "_sort", hashed.alias("_hash")).unionByName(
+        rows.where(share_drawn(hashed, UNLABELLED, total)).select(text_col, F.lit(0).alias("_sort"), hashed.alias("_hash"))
     )
 
     def run(batch: pa.RecordBatch) -> dict:
         x = features(batch.column(0))
-        return {"_sort": batch.column(1), "x": pa.array([r.tobytes() for r in x], pa.binary())}
-
-    got = map_batches(chosen, "_sort int, x binary", run).toPandas()
-    parts = [np.frombuffer(b"".join(got.loc[got["_sort"] == s, "x"]), np.float32).reshape(-1, WIDTH) for s in (1, 0)]
+        return {"_sort": batch.column(1), "_hash": batch.column(2), "x": pa.array([r.tobytes() for r in x], pa.binary())}
+
+    ordered = map_batches(chosen, "_sort int, _hash bigint, x binary", run).orderBy(F.desc("_sort"), "_hash", "x")
+    got = ordered.select("_sort", "x").toArrow()
+    n = int(pc.sum(got.column("_sort")).as_py() or 0)  # the trusted rows come first
+    parts = [_matrix(got.column("x").slice(0, n)), _matrix(got.column("x").slice(n))]
+    if total and not len(parts[1]):
+        raise RuntimeError("no unlabelled row was drawn")
     return parts[0], parts[1]
 
 
+def _matrix(rows: pa.ChunkedArray) -> np.ndarray:
+    """Rows of WIDTH numbers; chunk by chunk, so that no second copy of all is held."""
+    out, at = np.zeros((len(rows), WIDTH), np.float32), 0
+    for chunk in rows.chunks:
+        for x in chunk:
+            out[at] = np.frombuffer(x.as_buffer(), np.float32)
+            at += 1
+    return out
+
+
 def train(df: DataFrame, labels: DataFrame, positive: Column, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on trusted rows of ``labels`` (where ``positive`` holds) and on unlabelled rows of ``df``."""
     return fit(*sample_features(df, labels, positive, id_col, text_col))

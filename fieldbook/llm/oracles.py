@@ -5,24 +5,27 @@ from __future__ import annotations
 from fieldbook.llm.secret_scan import KINDS, LEAST_ASSIGNED
 
 _FOUND = " UNION ALL ".join(
-    f"SELECT r, o, {n} AS kind, regexp_extract_all(t, '{pattern}') AS w, string_split_regex(t, '{pattern}') AS g,"
+    f"SELECT r, o, p, t, {n} AS kind, regexp_extract_all(t, '{pattern}') AS w, string_split_regex(t, '{pattern}') AS g,"
     f" regexp_extract_all(t, '{pattern}', {group}) AS v FROM d"
     for n, (_, pattern, group) in enumerate(KINDS)
 )
 _NAMES = ", ".join(f"'{kind}'" for kind, _, _ in KINDS)
 _TEXT = "string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, rank)"
 
-SECRETS = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS o FROM documents),
+SECRETS = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS o, concat_ws('/', source, lang) AS p FROM documents),
  k AS ({_FOUND}),
- m AS (SELECT r, o, kind, w, g, v, unnest(generate_series(1, len(w))) AS i FROM k),
- p AS (SELECT r, o, kind, length(w[i]) AS size, length(v[i]) AS vsize, v[i] AS val, sum(length(g[i]) + length(w[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM m),
+ m AS (SELECT r, o, p, t, kind, w, g, v, unnest(generate_series(1, len(w))) AS i FROM k),
+ p AS (SELECT r, o, p, t, kind, length(w[i]) AS size, length(v[i]) AS vsize, v[i] AS val, sum(length(g[i]) + length(w[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM m),
  c AS (SELECT *, e - size AS s FROM p WHERE kind <> 0 OR vsize >= {LEAST_ASSIGNED}),
- own AS (SELECT val, count(DISTINCT o) AS n FROM c GROUP BY 1),
- j AS (SELECT c.*, CASE WHEN n >= 2 THEN 'example' WHEN len(list_distinct(string_split(val, ''))) >= 8 THEN 'live' ELSE 'plain' END AS judged FROM c JOIN own USING (val)),
- x AS (SELECT r, s, kind AS rank, e, [{_NAMES}][kind + 1] AS name, judged FROM j UNION SELECT r, e - vsize, {len(KINDS)}, e, 'live', 'live' FROM j WHERE judged = 'live')
+ homes AS (SELECT val, t, min({{'o': o, 'p': p}}) AS home FROM c GROUP BY 1, 2),
+ own AS (SELECT val, count(DISTINCT home.o) AS n_owners, count(DISTINCT home) AS n_repositories FROM homes GROUP BY 1),
+ j AS (SELECT c.*, n_owners, n_repositories, CASE WHEN n_owners >= 2 OR n_repositories >= 3 THEN 'example' WHEN len(list_distinct(string_split(val, ''))) >= 8 THEN 'live' ELSE 'plain' END AS judged FROM c JOIN own USING (val)),
+ x AS (SELECT r, s, kind AS rank, e, [{_NAMES}][kind + 1] AS name, judged, n_owners, n_repositories FROM j
+   UNION SELECT r, e - vsize, {len(KINDS)}, e, 'live', 'live', n_owners, n_repositories FROM j WHERE judged = 'live')
 SELECT doc_id, count(*) FILTER (name = 'assign') AS n_assign, count(*) FILTER (name = 'access') AS n_access, count(*) FILTER (name = 'hex') AS n_hex,
   sha256(coalesce({_TEXT} FILTER (rank < {len(KINDS)}), '')) AS base_sha256, coalesce({_TEXT}, '') AS spans,
-  count(*) FILTER (name = 'live') AS n_live, count(*) FILTER (judged = 'example') AS n_examples
+  count(*) FILTER (name = 'live') AS n_live, count(*) FILTER (judged = 'example') AS n_examples,
+  CAST(coalesce(max(n_owners), 0) AS BIGINT) AS most_owners, CAST(coalesce(max(n_repositories), 0) AS BIGINT) AS most_repositories
 FROM d LEFT JOIN x USING (r) GROUP BY r, doc_id"""
 
 SIMILAR = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -72,6 +72,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(entries).alias("spans"),
         secret_scan.counted(entries, secret_scan.LIVE).alias("n_live"),
         F.size(F.filter(entries, lambda x: x["judged"] == "example")).cast("bigint").alias("n_examples"),
+        *[F.coalesce(F.array_max(F.col(f"found.n_{n}")), F.lit(0)).cast("bigint").alias(f"most_{n}") for n in ("owners", "repositories")],
     )
 
 

@@ -66,9 +66,9 @@ def spans(scanned: DataFrame) -> DataFrame:
     """Candidates with positions in code points, the end exclusive."""
     kinds = [f"_{kind}" for kind, _, _ in KINDS]
     each = [
-        scanned.where(F.col(k).isNotNull()).select("_row", "_owner", "_repository", F.posexplode(k).alias("_at", "_m")) for k in kinds
+        scanned.where(F.col(k).isNotNull()).select("_row", "_owner", "_repository", "_text_hash", F.posexplode(k).alias("_at", "_m")) for k in kinds
     ]
-    rows = each[0].unionByName(each[1]).unionByName(each[2]).select("_row", "_owner", "_repository", "_at", "_m.*")
+    rows = each[0].unionByName(each[1]).unionByName(each[2]).select("_row", "_owner", "_repository", "_text_hash", "_at", "_m.*")
     before = Window.partitionBy("_row", "kind").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before))
@@ -78,8 +78,13 @@ def spans(scanned: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """``key``, and in how many distinct owners and repositories it stands; repeated copies collapse before each shuffle."""
-    held = candidates.groupBy("key", "_owner", "_repository").agg(F.lit(1).alias("_one"))
+    """``key``, and in how many distinct owners and repositories it stands.
+
+    Texts are counted, not rows: a mirrored text belongs to the first of its owners and repositories, so a copy of a whole
+    document tells nothing about the values in it. Copies collapse before each shuffle.
+    """
+    homes = candidates.groupBy("key", "_text_hash").agg(F.min(F.struct("_owner", "_repository")).alias("_home"))
+    held = homes.groupBy("key", F.col("_home._owner").alias("_owner"), F.col("_home._repository").alias("_repository")).agg(F.lit(1).alias("_one"))
     by_owner = held.groupBy("key", "_owner").agg(F.count("*").alias("_repositories"))
     return by_owner.groupBy("key").agg(F.count("*").alias("n_owners"), F.sum("_repositories").alias("n_repositories"))
 
@@ -91,19 +96,22 @@ def find_secrets(
     owner: Column | None = None,
     repository: Column | None = None,
     example_owners: int = 2,
+    example_repositories: int = 3,
 ) -> DataFrame:
     """Candidates of every whole text and what the corpus says about them.
 
     Returns one row per row of ``df``: id_col; ``text_hash``, which tells apart texts under one id; ``found``, an array of (start, rank, end, kind, key, n_owners, n_repositories,
-    judged) ordered by start and kind, where ``judged`` is ``example`` for a value that ``example_owners`` or more owners hold,
-    ``live`` for a varied value of one owner, and ``plain`` otherwise. A live candidate adds an entry of kind ``live`` that
+    judged) ordered by start and kind, where ``judged`` is ``example`` for a value that stands in different texts of
+    ``example_owners`` or more owners or ``example_repositories`` or more repositories, ``live`` for another varied value, and
+    ``plain`` otherwise. A live candidate adds an entry of kind ``live`` that
     covers its value alone. A repository is (owner, repository). Null texts are empty and have no candidates; a null owner or
     repository counts as one unnamed owner or repository; repeated rows and equal or null ids are kept apart by an own row number.
     """
     owner = F.lit("") if owner is None else owner
     scanned = scan(df, id_col, text_col, owner, owner if repository is None else repository)
     base = spans(scanned)
-    judged = F.when(F.col("n_owners") >= example_owners, "example").when(F.col("varied"), LIVE).otherwise("plain")
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories)
+    judged = F.when(copied, "example").when(F.col("varied"), LIVE).otherwise("plain")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     known = ownership(base).withColumn("_salt", salts)  # a widely copied value is met in SALTS tasks
     names = F.array(*[F.lit(k) for k, _, _ in KINDS])

@@ -125,7 +125,7 @@ def test_copied_values_are_examples(spark):
     from fieldbook.llm import secret_scan
 
     value = "q1w2e3r4t5y6u7i8"
-    rows = [(n, f"token={value}", f"o{n % 2}") for n in range(6)] + [(9, "token=z9y8x7w6v5u4t3s2", "o1"), (10, "token=aaaaaaaaaa", "o1")]
+    rows = [(n, f"token={value} in text {n}", f"o{n % 2}") for n in range(6)] + [(9, "token=z9y8x7w6v5u4t3s2", "o1"), (10, "token=aaaaaaaaaa", "o1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["doc_id"]: [(e["kind"], e["judged"], e["n_owners"]) for e in r["found"]] for r in secret_scan.find_secrets(df, owner=secret_scan.F.col("source")).collect()}
     assert got[0] == [("assign", "example", 2)]
