@@ -66,16 +66,18 @@ CROP_CATEGORIES = {
 }
 
 # Crop raster coverage by state, and states by agricultural weight.
-FULL_COVERAGE_STATES = (
-    "AL AR AZ CA CO CT DE FL GA IA ID IL IN KS KY LA MA MD ME MI MN MO MS MT NC ND NE NH NJ NM NV NY OH OK OR PA "
-    "RI SC SD TN TX UT VA VT WA WI WV WY"
-).split()
+FULL_COVERAGE_STATES = [
+    "AL", "AR", "AZ", "CA", "CO", "CT", "DE", "FL", "GA", "IA", "ID", "IL", "IN", "KS", "KY", "LA", "MA", "MD", "ME", "MI",
+    "MN", "MO", "MS", "MT", "NC", "ND", "NE", "NH", "NJ", "NM", "NV", "NY", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN",
+    "TX", "UT", "VA", "VT", "WA", "WI", "WV", "WY",
+]
 LIMITED_COVERAGE_STATES = ["AK", "HI"]
 MAJOR_FARM_STATES = ["IA", "IL", "IN", "NE", "KS", "MN", "MO", "OH", "WI"]
 MIXED_FARM_STATES = ["TX", "CA", "FL", "GA", "NC", "AR", "MS", "AL"]
-CROP_HISTORY_STATES = (
-    "TX IA IL IN KS NE MN MO OH WI OK AR MS AL GA FL SC NC VA MD DE NJ PA NY CT RI MA VT NH ME"
-).split()
+CROP_HISTORY_STATES = [
+    "TX", "IA", "IL", "IN", "KS", "NE", "MN", "MO", "OH", "WI", "OK", "AR", "MS", "AL", "GA", "FL", "SC", "NC", "VA", "MD",
+    "DE", "NJ", "PA", "NY", "CT", "RI", "MA", "VT", "NH", "ME",
+]
 
 # Headline commodities (label, unit filter, preferred series).
 COMMODITIES = [

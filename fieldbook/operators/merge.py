@@ -1,7 +1,6 @@
 """Table states after merges, replacements, updates, retention and history: pure DataFrame logic.
 
-Each function returns the full new state of the target; :mod:`fieldbook.sources.tables` writes it to
-a fresh folder and switches over.
+Each function returns the full new state of the target; :mod:`fieldbook.sources.tables` stores it.
 """
 
 from __future__ import annotations

@@ -155,3 +155,51 @@ def recommendation_report(recommended: DataFrame) -> DataFrame:
         .unionByName(counts_as_rows("priority", priorities, "priority", "n"))
         .unionByName(counts_as_rows("strategy", strategies, "primary_strategy", "n"))
     )
+
+
+def churn_report(scored: DataFrame, key: str, score: str = "churn_risk_score", importance: DataFrame | None = None, n: int = 5) -> DataFrame:
+    """Report rows: summary, customers and shares by risk, the customers most at risk, and the factors that weigh most where given."""
+    total = scored.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    risks = scored.groupBy(risk_category(F.col(score)).alias("category")).agg(F.count(F.lit(1)).alias("n")).where(F.col("category").isNotNull())
+    risks = risks.withColumn("percentage", F.col("n") / total * 100)
+    worst = top_n(scored.select(key, score), [F.desc(score), F.col(key)], n)
+    out = (
+        as_rows("summary", churn_summary(scored, score))
+        .unionByName(counts_as_rows("risk_distribution", risks, "category", "n"))
+        .unionByName(counts_as_rows("risk_percentage", risks, "category", "percentage"))
+        .unionByName(counts_as_rows("top_at_risk", worst, key, score))
+    )
+    if importance is None:
+        return out
+    return out.unionByName(counts_as_rows("risk_factors", top_n(importance, [F.desc("importance"), F.col("feature")], n), "feature", "importance"))
+
+
+def segment_report(df: DataFrame, scores: Sequence[str], business: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """Report rows, a section for each segment: size, share, mean scores and business figures."""
+    means = df.groupBy(cluster).agg(*[F.avg(c).alias(f"avg_{c}") for c in scores])
+    one = segment_sizes(df, cluster).join(means, cluster).join(business, cluster)
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in one.columns if c != cluster])
+    return one.select(F.col(cluster).cast("string").alias("section"), F.inline(pairs))
+
+
+def model_rows(metrics: DataFrame, name: str) -> DataFrame:
+    """Report rows of trained models: a section for each, a row for each figure."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in metrics.columns if c != name])
+    return metrics.select(F.col(name).alias("section"), F.inline(pairs))
+
+
+def analytics_report(metrics: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Report rows of deal models (``model`` and its figures) and of the revenue forecast."""
+    total = F.coalesce(F.sum("forecasted_revenue"), F.lit(0.0))
+    one = forecast.agg(
+        F.count(F.lit(1)).alias("months"), total.alias("total_forecasted_revenue"), (total / F.count(F.lit(1))).alias("average_monthly_revenue")
+    )
+    return model_rows(metrics, "model").unionByName(as_rows("forecast", one))
+
+
+def training_report(best: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Report rows of a training session: its overall grade, the best model of each family, and every model that was trained."""
+    overall = best.agg(F.avg("grade").alias("overall_score"), F.count(F.lit(1)).alias("families"))
+    families = model_rows(best.select(F.concat_ws(": ", "family", "model").alias("name"), "metric", "grade"), "name")
+    each = counts_as_rows("trained", sessions.withColumn("name", F.concat_ws(": ", "family", "model")), "name", "metric")
+    return as_rows("session", overall).unionByName(families).unionByName(each)

@@ -145,6 +145,34 @@ def indicators() -> Column:
     return F.array_compact(F.array(*found))
 
 
+def rule_indicators(as_of: dt.datetime) -> dict[str, Column]:
+    """The reasons behind each of the four scores, one array of texts for each rule."""
+    size, company = F.coalesce(F.col("company_size"), F.lit(0)), _text("company")
+    state = F.upper(F.coalesce(F.col("company_state"), F.lit("")))
+    weight, terms = mapped(state, STATE_WEIGHTS, 0), _hits(company, FARM_WORDS)
+    years = whole_days(F.lit(as_of).cast("timestamp"), F.col("createdate").cast("timestamp")) / 365.25
+    listed = lambda *found: F.array_compact(F.array(*found))
+    business = listed(
+        F.when(terms > 0, F.concat(F.lit("Company name contains "), terms.cast("string"), F.lit(" agricultural terms"))),
+        F.when(_any(_text("company_industry"), FARM_INDUSTRIES), F.lit("Industry classified as agricultural")),
+        F.when(size > 10, F.lit("Substantial company size")),
+    )
+    timing = first_match(
+        [
+            (F.col("createdate").isNull(), "No timing data available - assuming moderate eligibility"),
+            (years <= 1, "Very recent contact creation (likely recent acquisition)"), (years <= 2, "Recent contact creation"),
+            (years <= 3, "Moderately recent contact"),
+        ],
+        "Older contact",
+    )
+    region = listed(
+        F.when(state.isin(list(STATE_WEIGHTS)), F.concat(F.lit("Located in agricultural state "), state, F.lit(" (score: "), weight.cast("string"), F.lit("/10)"))),
+        F.when(_any(_text("company_city"), RURAL_WORDS), F.lit("City name suggests rural/agricultural area")),
+    )
+    unknown = F.array(F.lit("Location unknown - assuming moderate agricultural potential"))
+    return {"ownership": indicators(), "business": business, "timing": F.array(timing), "region": F.when(F.size(region) > 0, region).otherwise(unknown)}
+
+
 def assign_segment(df: DataFrame) -> DataFrame:
     tier, value, savings = F.col("qualification_tier"), F.col("value_tier"), F.col("estimated_tax_savings")
     segment = first_match(

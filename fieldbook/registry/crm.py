@@ -493,6 +493,22 @@ def r01_indicators(spark, sf):
     return _leads(spark, sf).select("contact_id", F.size(rules.indicators()).cast("bigint").alias("indicators"))
 
 
+@query("r01_rule_indicators", f"""WITH {LEADS}, i AS (SELECT *, lower(coalesce(company, '')) AS lc, lower(coalesce(company_industry, '')) AS li, upper(coalesce(company_state, '')) AS st, lower(coalesce(company_city, '')) AS ci,
+   days_created / 365.25e0 AS years, CASE upper(coalesce(company_state, '')) {' '.join(f"WHEN '{s}' THEN {w}" for s, w in rules.STATE_WEIGHTS.items())} END AS weight FROM features),
+ h AS (SELECT *, {sql_hits(rules.FARM_WORDS, 'lc')} AS terms FROM i),
+ r AS (SELECT *, concat_ws('; ', CASE WHEN weight IS NOT NULL THEN 'Located in agricultural state ' || st || ' (score: ' || weight || '/10)' END,
+   CASE WHEN {sql_words(rules.RURAL_WORDS, 'ci')} THEN 'City name suggests rural/agricultural area' END) AS region FROM h)
+SELECT contact_id, concat_ws('; ', CASE WHEN terms > 0 THEN 'Company name contains ' || terms || ' agricultural terms' END, CASE WHEN {sql_words(rules.FARM_INDUSTRIES, 'li')} THEN 'Industry classified as agricultural' END,
+  CASE WHEN coalesce(company_size, 0) > 10 THEN 'Substantial company size' END) AS business,
+  CASE WHEN created IS NULL THEN 'No timing data available - assuming moderate eligibility' WHEN years <= 1 THEN 'Very recent contact creation (likely recent acquisition)' WHEN years <= 2 THEN 'Recent contact creation'
+    WHEN years <= 3 THEN 'Moderately recent contact' ELSE 'Older contact' END AS timing,
+  CASE WHEN region = '' THEN 'Location unknown - assuming moderate agricultural potential' ELSE region END AS region FROM r""", T)
+def r01_rules(spark, sf):
+    """Reasons of the business, timing and region rules, joined as texts."""
+    found = rules.rule_indicators(AS_OF)
+    return _leads(spark, sf).select("contact_id", *[F.array_join(found[n], "; ").alias(n) for n in ("business", "timing", "region")])
+
+
 @query("r02_confidence_tier", f"WITH {QUALIFIED} SELECT contact_id, round(confidence, 8) AS confidence_score, tier AS qualification_tier FROM q7", T)
 def r02(spark, sf):
     return _qualified(spark, sf).select("contact_id", F.round("confidence_score", 8).alias("confidence_score"), "qualification_tier")
@@ -624,6 +640,41 @@ def r16(spark, sf):
     return reports.recommendation_report(_recommended(spark, sf))
 
 
+@query("r16_churn_report", """WITH n AS (SELECT count(*) AS n FROM scored), c AS (SELECT CASE WHEN churn_risk_score <= 0 THEN NULL WHEN churn_risk_score <= 0.3 THEN 'Low' WHEN churn_risk_score <= 0.6 THEN 'Medium'
+   WHEN churn_risk_score <= 0.8 THEN 'High' WHEN churn_risk_score <= 1 THEN 'Critical' END AS category FROM scored)
+SELECT 'summary' AS section, 'total_customers' AS key, CAST(n AS DOUBLE) AS value FROM n UNION ALL SELECT 'summary', 'avg_risk_score', round(avg(churn_risk_score), 6) FROM scored
+ UNION ALL SELECT 'summary', 'high_risk_count', count(*) FILTER (churn_risk_score > 0.7) FROM scored UNION ALL SELECT 'summary', 'critical_risk_count', count(*) FILTER (churn_risk_score > 0.8) FROM scored
+ UNION ALL SELECT 'risk_distribution', category, count(*) FROM c WHERE category IS NOT NULL GROUP BY 2 UNION ALL SELECT 'risk_percentage', category, round(count(*) / any_value(n) * 100, 6) FROM c, n WHERE category IS NOT NULL GROUP BY 2
+ UNION ALL SELECT * FROM (SELECT 'top_at_risk', email, churn_risk_score FROM scored ORDER BY churn_risk_score DESC, email LIMIT 5)""", "scored")
+def r16_churn(spark, sf):
+    out = reports.churn_report(table(spark, sf, "scored"), "email")
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query("r16_segment_report", """WITH n AS (SELECT count(*) AS n FROM scored), g AS (SELECT predicted_segment AS s, count(*) AS size, avg(engagement_score) AS e, avg(lead_score) AS l, avg(total_deals) AS d, avg((total_deals > 0)::INT) * 100 AS p FROM scored GROUP BY 1)
+SELECT s AS section, k AS key, round(v, 6) AS value FROM (SELECT s, unnest(['size', 'percentage', 'avg_engagement_score', 'avg_lead_score', 'avg_deals', 'deal_creators_pct']) AS k,
+  unnest([size::DOUBLE, size / n * 100, e, l, d, p]) AS v FROM g, n)""", "scored")
+def r16_segments(spark, sf):
+    rows = table(spark, sf, "scored")
+    business = rows.groupBy("predicted_segment").agg(F.avg("total_deals").alias("avg_deals"), (F.avg((F.col("total_deals") > 0).cast("double")) * 100).alias("deal_creators_pct"))
+    out = reports.segment_report(rows, ["engagement_score", "lead_score"], business, "predicted_segment")
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query("r16_analytics_report", f"""WITH {DEALS}, o AS (SELECT amount, stage_probability, date_trunc('month', createdate + (to_days(CAST(days_open + 360 AS INTEGER)))) AS month FROM f WHERE NOT is_closed),
+ p AS (SELECT month, sum(amount * stage_probability) AS r FROM o WHERE month BETWEEN TIMESTAMP '2001-07-01' AND TIMESTAMP '2001-12-01' GROUP BY 1)
+SELECT 'forecast' AS section, 'months' AS key, 6.0::DOUBLE AS value UNION ALL SELECT 'forecast', 'total_forecasted_revenue', round(coalesce(sum(r), 0), 2) FROM p
+ UNION ALL SELECT 'forecast', 'average_monthly_revenue', round(coalesce(sum(r), 0) / 6, 2) FROM p UNION ALL SELECT 'closure', 'auc', 0.8 UNION ALL SELECT 'closure', 'training_samples', count(*) FROM f WHERE is_closed""", "deals")
+def r16_analytics(spark, sf):
+    deals = _deals(spark, sf)
+    open_ = deals.where("NOT is_closed").withColumns(
+        {"closure_probability": F.col("stage_probability"), "estimated_close": F.date_add(F.col("createdate").cast("date"), (F.col("days_open") + 360).cast("int"))}
+    )
+    metrics = deals.where("is_closed").agg(F.lit("closure").alias("model"), F.lit(0.8).alias("auc"), F.count(F.lit(1)).alias("training_samples"))
+    out = reports.analytics_report(metrics, crm.revenue_forecast(open_, dt.datetime(2001, 7, 15)))
+    return out.withColumn("value", F.round("value", 2))
+
+
 @query("ml25_attached_scores", """SELECT id, CASE WHEN id % 3 = 0 THEN lead_score ELSE 0.5 END AS lead_score, CASE WHEN id % 2 = 0 THEN churn_risk_score ELSE 0.3 END AS churn_risk_score, 'Segment_0' AS predicted_segment FROM scored""", "scored")
 def ml25(spark, sf):
     s = table(spark, sf, "scored")

@@ -164,7 +164,16 @@ def ml23(spark, sf):
     churn = training.train_session(_churn_frame(spark, sf), "contact_id", "churned", kinds, [*training.IDENTITY, *training.CHURN_LEAKS], root, "s1", "churn_prediction")
     deals = training.deal_session(_deals(spark, sf), kinds, root, "s1")
     segments = training.segment_session(_segment_frame(spark, sf))
-    return models.best_models(lead.unionByName(churn).unionByName(deals).unionByName(segments))
+    return models.best_models(cut_lineage(lead.unionByName(churn).unionByName(deals).unionByName(segments)))
+
+
+@query("r16_training_report")
+def r16_training(spark, sf):
+    """Report of a session that trains one family and segments."""
+    root = new_folder(spark, "r16")
+    lead = training.train_session(_lead_frame(spark, sf), "contact_id", "converted", ("logistic_regression",), SKIP, root, "s1", "lead_scoring")
+    sessions = cut_lineage(lead.unionByName(training.segment_session(_segment_frame(spark, sf))))
+    return reports.training_report(models.best_models(sessions), sessions)
 
 
 @query("ml04_label_codes", f"""WITH {LEADS} SELECT contact_id, CAST(dense_rank() OVER (ORDER BY coalesce(company_state, 'Unknown')) - 1 AS DOUBLE) AS state_code,

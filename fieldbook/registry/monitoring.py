@@ -256,9 +256,8 @@ MERGE = """ target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amou
   coalesce(s.updated_at, t.updated_at) AS updated_at FROM target t FULL JOIN source s ON t.id = s.id""")
 def snk03(spark, sf):
     root = new_folder(spark, "snk03")
-    store.replace_table(_target(spark, sf), root)
-    new = merge.upsert(store.read_table(spark, root), _changes(spark, sf), ["ID"], newest=["updated_at", "amount"])
-    store.replace_table(new, root)  # the plan reads the old version while the new one is written
+    store.merge_into(_target(spark, sf), root, ["id"], ["updated_at"])
+    store.merge_into(_changes(spark, sf), root, ["id"], ["updated_at", "amount"])
     return store.read_table(spark, root)
 
 

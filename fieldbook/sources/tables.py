@@ -1,76 +1,58 @@
-"""Reading and replacing whole tables kept as Parquet folders.
+"""Tables kept as Parquet folders: merges that rewrite only what they touch, loads, exports, chunks, run state, names and types.
 
-There is no transactional table format here, so a new state is written to a fresh version folder and
-a small pointer file is renamed into place. Readers follow the pointer; a failed write leaves the old
-version untouched, and a table may be rewritten from a plan that reads it. Paths go through Hadoop's
-file system, so they may lie on any shared store.
+A merged table is partitioned by a hash of its keys. A merge reads and overwrites the partitions that hold changed keys, by the
+dynamic overwrite of Spark's file writer; the others stay as they are. Repeating a merge gives the same table.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.functions.values import surrogate_key
+from fieldbook.operators.merge import upsert
 from fieldbook.operators.ranking import global_rank
+from fieldbook.session import cut_lineage
 
-POINTER = "_current"
+#: Partitions of a merged table; the same for its whole life.
+BUCKETS, BUCKET = 64, "_bucket"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """A merged table as it is now."""
+    return spark.read.parquet(root).drop(BUCKET)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, jvm = _fs(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    if not fs.exists(path):
-        return None
-    stream = fs.open(path)
+def _stored(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-    finally:
-        stream.close()
-
+        return spark.read.parquet(root)
+    except AnalysisException:  # no such folder yet
+        return None
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no table at {root}")
-    return spark.read.parquet(f"{root}/{version}")
 
+def _write(df: DataFrame, root: str, bucket: Column) -> None:
+    tagged = df.withColumn(BUCKET, bucket).repartition(BUCKET)
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(root)
 
-def replace_table(df: DataFrame, root: str, partition_by: list[str] | None = None) -> int:
-    """Write the full new state, then switch the pointer. Returns the number of rows written."""
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{version}")
-    fs, jvm = _fs(spark, root)
-    temp, final = (jvm.org.apache.hadoop.fs.Path(f"{root}/{n}") for n in (f"_next-{version}", POINTER))
-    out = fs.create(temp, True)
-    try:
-        out.write(bytearray(version.encode()))
-    finally:
-        out.close()
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(temp.toUri(), fs.getConf()).rename(
-        temp, final, _overwrite(spark)
-    )
-    return seen.get["rows"]
 
+def merge_into(changes: DataFrame, root: str, keys: Sequence[str], newest: Sequence[str], late: bool = False) -> None:
+    """Merge ``changes`` into the table at ``root``, which the first call creates.
 
-def _overwrite(spark: SparkSession):
-    """Java varargs array with Options.Rename.OVERWRITE."""
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    option = getattr(jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
-    array = gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
-    array[0] = option
-    return array
+    The newest change of a key wins; with ``late`` it must also be newer than the stored row, so changes may arrive in any
+    order. What a touched partition will hold is put down in the shared folder before the partition is overwritten.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    table = _stored(changes.sparkSession, root)
+    if table is None:
+        _write(upsert(changes.limit(0), changes, keys, newest=newest), root, bucket)
+        return
+    touched = [r[0] for r in changes.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS numbers
+    old = table.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    source = old.join(changes.select(*keys).distinct(), list(keys), "left_semi").select(*changes.columns).unionByName(changes) if late else changes
+    _write(cut_lineage(upsert(old, source, keys, newest=newest)), root, bucket)
 
 
 def load_frame(df: DataFrame, path: str, if_exists: str = "append") -> int:

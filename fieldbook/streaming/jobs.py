@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldbook.functions.documents import parse_or_salvage, is_salvaged
-from fieldbook.operators.merge import upsert
-from fieldbook.sources.tables import current_version, read_table, replace_table
+from fieldbook.sources.tables import merge_into
 
 
 def file_stream(spark: SparkSession, folder: str, schema, kind: str = "parquet", pattern: str = "*", per_batch: int | None = None) -> DataFrame:
@@ -73,20 +72,15 @@ def hourly_quota(events: DataFrame, ts: str, key: str, limit: int = 1000, late:
 
 
 def stream_upsert(changes: DataFrame, root: str, keys: Sequence[str], newest: Sequence[str], checkpoint: str, mode: str = "append", **kw) -> StreamingQuery:
-    """Merge each micro-batch into a table; repeating a batch gives the same table. ``mode`` is update for running counts.
+    """Merge each micro-batch into a table, rewriting only partitions with changed keys; repeating a batch gives the same table.
+    ``mode`` is update for running counts.
 
     An older change that arrives late does not replace a newer row: existing rows of the touched keys
     compete with the batch by ``newest``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if current_version(spark, root) is None:
-            replace_table(upsert(batch.limit(0), batch, keys, newest=newest), root)
-            return
-        old = read_table(spark, root)
-        touched = old.join(batch.select(*keys).distinct(), list(keys), "left_semi")
-        replace_table(upsert(old, touched.unionByName(batch), keys, newest=newest), root)
+        merge_into(batch, root, keys, newest, late=True)
 
     return run(changes, lambda w: w.outputMode(mode).foreachBatch(write).start(), checkpoint, **kw)
 

@@ -25,6 +25,7 @@ SHAPES = {
     "ml22_deal_outcomes": (["deal_id"], ["closure_probability"]),
     "ml23_best_models": (None, []),
     "ml24_stored_model": (None, []),
+    "r16_training_report": (["section", "key"], []),
 }
 
 
