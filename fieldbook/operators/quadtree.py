@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.geo import EARTH_MILES, haversine_miles
-from fieldbook.session import cut_lineage, if_small
+from fieldbook.session import cut_lineage, if_small, shuffled
 
 MILES_PER_DEGREE = EARTH_MILES * math.pi / 180
 #: Degrees of the coarsest cells, cells into which a side of one is split, and levels (the finest cells are 7 mm wide).
@@ -95,11 +95,11 @@ def leaf_pairs(asking: DataFrame, found: DataFrame) -> DataFrame:
             grown = q.withColumn("_s", F.explode(every.select("all").scalar())).select("*", "_s.*").drop("_s")
         else:
             up = pairs.select(F.col("q").alias("q_up"), F.col("s").alias("s_up"))
-            grown = up.join(q, "q_up").join(s, "s_up")
+            grown = up.join(shuffled(q), "q_up").join(shuffled(s), "s_up")
         lower, upper = _distances()
         bounded = grown.select("q", "s", lower.alias("_lower"), upper.alias("_upper"))
         best = bounded.groupBy("q").agg(F.min("_upper").alias("_best"))
-        pairs = bounded.join(best, "q").where(F.col("_lower") <= F.col("_best") * 1.000000001 + 1e-9).select("q", "s")
+        pairs = bounded.join(shuffled(best), "q").where(F.col("_lower") <= F.col("_best") * 1.000000001 + 1e-9).select("q", "s")
         pairs = cut_lineage(pairs)
     return pairs
 
@@ -116,8 +116,13 @@ def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
     asking = leaves(places, ASKING).withColumn("q", F.struct("level", "y", "x"))
     found = leaves(spots, FOUND).withColumn("s", F.struct("level", "y", "x"))
     pairs = leaf_pairs(asking, found)
-    candidates = found.select("s", F.col(right_key).alias("_rk"), F.col("latitude").alias("_rlat"), F.col("longitude").alias("_rlon")).join(pairs, "s").drop("s")
-    met = asking.select("q", "latitude", "longitude").join(candidates, "q")
+    candidates = found.select("s", F.col(right_key).alias("_rk"), F.col("latitude").alias("_rlat"), F.col("longitude").alias("_rlon")).join(shuffled(pairs), "s").drop("s")
     d = haversine_miles(F.col("latitude"), F.col("longitude"), F.col("_rlat"), F.col("_rlon"))
-    best = met.groupBy("latitude", "longitude").agg(F.min(F.struct(d.alias("distance_miles"), F.col("_rk").alias(right_key))).alias("_best"))
-    return located(left).select(left_key, "latitude", "longitude").join(best, ["latitude", "longitude"]).select(left_key, f"_best.{right_key}", "_best.distance_miles")
+    # A number is kept in a hash table as the pairs pass; a distance with its key would have to sort every pair. So the least
+    # distance comes first, and the few pairs that have it then give the key.
+    met = asking.select("q", "latitude", "longitude").join(shuffled(candidates), "q")
+    least = cut_lineage(met.groupBy("q", "latitude", "longitude").agg(F.min(d).alias("distance_miles")))
+    best = least.join(shuffled(candidates), "q").where(d == F.col("distance_miles"))
+    best = best.groupBy("latitude", "longitude", "distance_miles").agg(F.min(F.struct("_rk"))["_rk"].alias(right_key))
+    asked = located(left).select(left_key, "latitude", "longitude").join(shuffled(best), ["latitude", "longitude"])
+    return asked.select(left_key, right_key, "distance_miles")
