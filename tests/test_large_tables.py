@@ -2,10 +2,10 @@
 
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
-from fieldbook.operators import crm
+from fieldbook.functions import geo
+from fieldbook.operators import crm, spatial, water
 
 
 def test_churn_features_of_a_change_after_the_clock(spark):
@@ -16,3 +16,53 @@ def test_churn_features_of_a_change_after_the_clock(spark):
     assert got[1]["activity_frequency"] == math.inf and math.isnan(got[2]["activity_frequency"])
     assert got[3]["activity_frequency"] == 2.0 and got[4]["activity_frequency"] is None
     assert got[1]["churned"] == 0 and got[1]["deal_momentum"] == 182.5
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def joins(df, kind, columns):
+    return [line for line in plan(df).splitlines() if line.lstrip(" :+-").startswith(kind) and all(c in line for c in columns)]
+
+
+def parcels(spark, rows):
+    return spark.createDataFrame(rows, "parcel_id string, latitude double, longitude double, acres double")
+
+
+PARCELS = [("a", 30.0, -100.0, 5.0), ("b", 30.1, -100.1, 7.0), ("b", 30.1, -100.1, 7.0), ("c", 47.0, -80.0, 1.0), (None, 30.0, -100.0, 2.0), ("d", None, None, 1.0)]
+
+
+def test_wide_tables_are_never_collected_in_the_driver(spark):
+    """The planner takes these tables for small, since sizes of files tell nothing of polygon sides and copies in cells."""
+    box = geo.square_wkt(F.col("longitude"), F.col("latitude"), F.lit(0.1))
+    shapes = parcels(spark, PARCELS).where("latitude IS NOT NULL").select("parcel_id", box.alias("wkt"))
+    overlap = spatial.overlap_pairs(shapes, shapes.withColumnRenamed("parcel_id", "unit"), "parcel_id", "unit", 0.5)
+    assert joins(overlap, "SortMergeJoin", ["_cy", "_cx"]) and not joins(overlap, "BroadcastHashJoin", ["_cy", "_cx", "Inner"])
+    ranges = spatial.nearby_range(parcels(spark, PARCELS), "acres", 30)
+    assert not joins(ranges, "BroadcastHashJoin", ["Inner"])
+    assert {(r["parcel_id"], r["nearby_min"], r["nearby_max"], r["nearby_count"]) for r in ranges.collect()} == {
+        ("a", 2.0, 7.0, 4), ("b", 2.0, 7.0, 4), ("c", 1.0, 1.0, 1), (None, 2.0, 7.0, 4)}
+    near = spatial.radius_pairs(parcels(spark, PARCELS), parcels(spark, PARCELS), "parcel_id", 30)
+    assert not joins(near, "BroadcastHashJoin", ["_cy", "Inner"]) and near.count() == 2 * 4 + 2 * 4 + 1 - 0
+
+
+def test_nearest_sorts_no_pairs(spark):
+    """A least distance with its key is sorted for; a least distance alone is kept in a hash table."""
+    places = spark.createDataFrame([("s2", 30.0, -100.2), ("s1", 30.0, -99.8), (None, 47.5, -80.0), ("s9", 46.5, -80.0), ("s3", 30.0, -100.2)], "station_id string, latitude double, longitude double")
+    near = spatial.nearest(parcels(spark, PARCELS), places, "parcel_id", "station_id")
+    assert not joins(near, "BroadcastHashJoin", ["Inner"]) and "min(struct(distance_miles" not in plan(near)
+    got = {(r["parcel_id"], r["station_id"]) for r in near.collect()}
+    assert got == {("a", "s1"), (None, "s1"), ("b", "s2"), ("c", None)} or got == {("a", "s2"), (None, "s2"), ("b", "s2"), ("c", None)}
+    assert near.count() == 5
+
+
+def test_water_summary_by_places_equals_the_sorted_one(spark):
+    cols = "right_id string, appropriation_date string, structure_name string, water_source string"
+    rights = spark.createDataFrame([("r1", "1950-01-01", "B", "SURFACE"), ("r2", "1950-01-01", "A", "SURFACE"), ("r3", None, "C", None), ("r4", "1950-01-01", None, "GROUND"), ("r4", "1950-01-01", None, "GROUND"), ("r5", "1990-01-01", "A", "RESERVOIR")], cols)
+    pairs = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("a", "r2"), ("a", "r3"), ("b", "r3"), (None, "r4"), ("c", "r5"), ("c", "r4"), ("c", "r1")], "parcel_id string, right_id string")
+    given, places = water.ranked(rights)
+    want = water.summarise(pairs.join(rights, "right_id"))
+    out = water.summarise(pairs.join(given, "right_id"), places=places)
+    assert "SortAggregate" not in plan(pairs.join(given, "right_id").groupBy("parcel_id", "water_source").agg(F.min("seniority")))
+    assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
