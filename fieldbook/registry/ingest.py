@@ -25,18 +25,27 @@ from fieldbook.streaming import jobs
 FILE_NAME = "'raw/parcels/county_' || (l_suppkey % 50) || '/o' || l_orderkey || '_p' || l_partkey || '_s' || l_suppkey || '.json'"
 
 
+#: About 70 MB of text, 7 MB compressed.
+DOCUMENTS_PER_FILE = 100_000
+#: Names of landed files.
+LANDED = "*.txt*"
+
+
 def _landed(spark, sf, label):
-    """The raw documents as line-delimited JSON files under four county folders."""
+    """The raw documents as line-delimited JSON files under four county folders, compressed and of bounded size.
+
+    A compressed file is read by one task, so a file ends after DOCUMENTS_PER_FILE documents.
+    """
     root = new_folder(spark, label)
     docs = raw_documents(spark, sf).withColumn("bucket", F.concat(F.lit("c"), (F.length("raw_data") % 4).cast("string")))
-    docs.select("bucket", "raw_data").write.partitionBy("bucket").option("compression", "none").text(f"{root}/landed")
+    docs.select("bucket", "raw_data").write.partitionBy("bucket").option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(f"{root}/landed")
     return f"{root}/landed"
 
 
 @query("src01_landing_scan", """SELECT count(*) AS documents, count(*) FILTER (WHERE l_orderkey % 37 = 36) AS malformed,
   CAST(sum(CASE WHEN l_orderkey % 37 = 36 THEN 0 WHEN l_partkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS parcels, true AS numbered FROM lineitem""")
 def src01(spark, sf):
-    docs = landing.scan_documents(spark, _landed(spark, sf, "src01"), pattern="*.txt")
+    docs = landing.scan_documents(spark, _landed(spark, sf, "src01"), pattern=LANDED)
     per_file = docs.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("n"), F.max("file_row_number").alias("last"), F.sum("parcel_count").alias("p"),
         F.count_if(F.col("is_malformed")).alias("bad"), F.count_distinct("file_row_number").alias("d"),
@@ -61,7 +70,7 @@ def src03_bad(spark, sf):
 @query("src04_county_files")
 def src04(spark, sf):
     root = _landed(spark, sf, "src04")
-    found = landing.county_files(spark, [root, f"{root}/bucket=c0", f"{root}/bucket=c1"], "*.txt")
+    found = landing.county_files(spark, [root, f"{root}/bucket=c0", f"{root}/bucket=c1"], LANDED)
     return found.groupBy(F.regexp_extract("path", "bucket=(c[0-9])", 1).alias("bucket")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
@@ -350,7 +359,7 @@ def _event_stream(spark, sf):
 def st01(spark, sf):
     landed, root = _landed(spark, sf, "st01"), new_folder(spark, "st01-out")
     for _ in range(2):  # the second run finds no new files and adds nothing
-        jobs.append_files(jobs.document_stream(spark, landed, "*.txt"), f"{root}/raw", f"{root}/checkpoint").awaitTermination()
+        jobs.append_files(jobs.document_stream(spark, landed, LANDED), f"{root}/raw", f"{root}/checkpoint").awaitTermination()
     docs = landing.lift_fields(spark.read.parquet(f"{root}/raw"))
     return docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if("is_malformed").alias("malformed"))
 
@@ -410,7 +419,7 @@ def st06(spark, sf):
 @query("st07_error_routing", "SELECT 'bad' AS route, count(*) FILTER (WHERE l_orderkey % 37 = 36) AS documents FROM lineitem UNION ALL SELECT 'good', count(*) FILTER (WHERE l_orderkey % 37 <> 36) FROM lineitem")
 def st07(spark, sf):
     landed, root = _landed(spark, sf, "st07"), new_folder(spark, "st07-out")
-    jobs.route_errors(jobs.document_stream(spark, landed, "*.txt"), f"{root}/good", f"{root}/bad", f"{root}/checkpoint").awaitTermination()
+    jobs.route_errors(jobs.document_stream(spark, landed, LANDED), f"{root}/good", f"{root}/bad", f"{root}/checkpoint").awaitTermination()
     out = None
     for route in ("good", "bad"):
         rows = spark.read.parquet(f"{root}/{route}").agg(F.lit(route).alias("route"), F.count(F.lit(1)).alias("documents"))

@@ -37,7 +37,7 @@ def run(df: DataFrame, start: Callable, checkpoint: str, trigger: dict | None =
 
 def append_files(df: DataFrame, path: str, checkpoint: str, **kw) -> StreamingQuery:
     """Append to a Parquet folder; each file is taken exactly once across restarts."""
-    return run(df, lambda w: w.format("parquet").outputMode("append").start(path), checkpoint, **kw)
+    return run(df, lambda w: w.format("parquet").option("compression", "zstd").outputMode("append").start(path), checkpoint, **kw)
 
 
 def wanted_events(events: DataFrame, key: str = "key", name: str = "event_name") -> DataFrame:
@@ -109,10 +109,9 @@ def route_errors(documents: DataFrame, good: str, bad: str, checkpoint: str, **k
     marked = documents.withColumn("is_malformed", is_salvaged(parse_or_salvage(F.col("raw_data"))))
 
     def write(batch: DataFrame, number: int) -> None:
-        read = batch.persist()  # parsed once for both tables
-        read.where("NOT is_malformed").write.mode("overwrite").parquet(f"{good}/batch={number}")
-        read.where("is_malformed").write.mode("overwrite").parquet(f"{bad}/batch={number}")
-        read.unpersist()
+        # Parsed once for each table: a batch may be larger than memory, and keeping it would put all texts on disk once more.
+        batch.where("NOT is_malformed").write.mode("overwrite").option("compression", "zstd").parquet(f"{good}/batch={number}")
+        batch.where("is_malformed").write.mode("overwrite").option("compression", "zstd").parquet(f"{bad}/batch={number}")
 
     return run(marked, lambda w: w.foreachBatch(write).start(), checkpoint, **kw)
 

@@ -2,10 +2,21 @@
 
 import math
 
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook import registry
 from fieldbook.functions import geo
 from fieldbook.operators import crm, spatial, water
+from fieldbook.session import new_folder
+from fieldbook.sources import landing
+from fieldbook.streaming import jobs
+
+registry.load_all()
+from fieldbook.registry import ingest  # noqa: E402
+from fieldbook.registry.raw_documents import raw_documents  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_churn_features_of_a_change_after_the_clock(spark):
@@ -66,3 +77,23 @@ def test_water_summary_by_places_equals_the_sorted_one(spark):
     out = water.summarise(pairs.join(given, "right_id"), places=places)
     assert "SortAggregate" not in plan(pairs.join(given, "right_id").groupBy("parcel_id", "water_source").agg(F.min("seniority")))
     assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+def test_landed_documents_are_compressed_in_bounded_files(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "DOCUMENTS_PER_FILE", 500)
+    root = ingest._landed(spark, SF, "landed")
+    files = landing.county_files(spark, [root], ingest.LANDED)
+    rows = spark.read.option("recursiveFileLookup", True).text(root)
+    plain = raw_documents(spark, SF).select(F.sum(F.length("raw_data") + 1)).first()[0]
+    assert files.agg(F.sum("length")).first()[0] * 4 < plain
+    assert rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 500
+    assert sorted(r["value"] for r in rows.collect()) == sorted(r["raw_data"] for r in raw_documents(spark, SF).select("raw_data").collect())
+
+
+def test_error_routing_keeps_no_batch(spark, monkeypatch):
+    """A kept batch spills all its texts to disk."""
+    root, kept = new_folder(spark, "routes"), []
+    spark.createDataFrame([('{"id":"P1"}',), ("{",), ("{",), ("[]",)], "value string").write.text(f"{root}/in")
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self) or self)
+    jobs.route_errors(jobs.document_stream(spark, f"{root}/in", "*.txt"), f"{root}/good", f"{root}/bad", f"{root}/checkpoint").awaitTermination()
+    assert not kept and [spark.read.parquet(f"{root}/{r}").count() for r in ("good", "bad")] == [2, 2]
