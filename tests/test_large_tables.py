@@ -2,13 +2,14 @@
 
 import math
 
+import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook import registry
 from fieldbook.functions import geo
 from fieldbook.operators import crm, spatial, water
-from fieldbook.session import new_folder
+from fieldbook.session import new_folder, training_tasks
 from fieldbook.sources import landing
 from fieldbook.streaming import jobs
 
@@ -97,3 +98,9 @@ def test_error_routing_keeps_no_batch(spark, monkeypatch):
     monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self) or self)
     jobs.route_errors(jobs.document_stream(spark, f"{root}/in", "*.txt"), f"{root}/good", f"{root}/bad", f"{root}/checkpoint").awaitTermination()
     assert not kept and [spark.read.parquet(f"{root}/{r}").count() for r in ("good", "bad")] == [2, 2]
+
+
+@pytest.mark.parametrize("rows,tasks", [(0, 1), (50_000, 1), (90_000, 12), (900_000, 12), (5_400_000, 12), (60_000_000, 120)])
+def test_training_tasks_follow_the_cores(rows, tasks):
+    """Each task of a forest sends the figures of all nodes of a pass, so tasks must not grow with the rows alone."""
+    assert training_tasks(rows, 12) == tasks
