@@ -126,9 +126,15 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
+def _least(d: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k least of each row (all where there are fewer), the least first."""
+    some = np.argpartition(d, k - 1, axis=1)[:, :k] if k < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+    return np.take_along_axis(some, np.take_along_axis(d, some, 1).argsort(axis=1, kind="stable"), 1)
+
+
 def _kth(d: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     """Distance of each row to its k-th nearest column, counting columns by weight; infinite when there are fewer."""
-    order = d.argsort(axis=1, kind="stable")
+    order = _least(d, k)
     upto = weight[order].cumsum(axis=1)
     enough = upto >= k
     at = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
@@ -138,23 +144,21 @@ def _kth(d: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
 def knn_distance(placed: DataFrame, levels: list[DataFrame], dims: int, k: int) -> DataFrame:
     """``k_distance`` of each ``spot``: to its k-th nearest row, itself included and copies counted.
 
-    A spot's own leaf bounds the distance; then it looks into the leaves within the greatest bound of its leaf.
+    A spot's own leaf bounds the distance; then it looks into the leaves within its bound.
     """
-    own = placed.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
     bound = lambda a, b: [a.column("spot"), _kth(kdtree.distances(a.p, b.p), b.column("w"), k)]
-    bounds = cut_lineage(kdtree.meet(placed, placed, own, bound, "spot string, bound double"))
-    bounded = cut_lineage(placed.join(bounds, "spot"))
-    found = kdtree.boxes(placed, dims)
-    asking = found.join(bounded.groupBy("node").agg(F.max("bound").alias("reach")), "node")
+    bounds = cut_lineage(kdtree.meet(placed.withColumn("b", F.col("node")), placed, bound, "spot string, bound double"))
+    bounded = placed.drop("w").join(bounds, "spot").withColumn("reach", F.col("bound"))
+    asking = cut_lineage(kdtree.reached(bounded, cut_lineage(kdtree.boxes(placed, dims)), levels))
 
     def closest(a: kdtree.Side, b: kdtree.Side) -> list:
         d, w, limit = kdtree.distances(a.p, b.p), b.column("w"), a.column("bound")
-        order = d.argsort(axis=1, kind="stable")[:, :k]
+        order = _least(d, k)
         near = np.take_along_axis(d, order, 1)
         keep = near <= limit[:, None]
         return [np.repeat(a.column("spot"), keep.sum(axis=1)), near[keep], w[order][keep]]
 
-    met = kdtree.meet(bounded, placed, kdtree.near_leaves(asking, found, levels), closest, "spot string, d double, w bigint")
+    met = kdtree.meet(asking, placed, closest, "spot string, d double, w bigint")
     lists = top_n_per_key(met, ["spot"], [F.col("d")], k).groupBy("spot").agg(F.array_sort(F.collect_list(F.struct("d", "w"))).alias("l"))
     state = F.aggregate(
         "l", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("d")),
@@ -184,8 +188,8 @@ def density_clusters(points: DataFrame, key: str, eps: float | None = None, min_
     ``eps`` the 90th percentile of the 4th-neighbour distance is used, without ``min_rows`` one fiftieth of the rows. Where
     there is no core at all, clusters are null.
 
-    Equal vectors collapse to weighted spots, which lie in leaves of a kd tree; leaves whose boxes are within reach meet in
-    pairs, and clusters that cross leaves are joined as components of their links.
+    Equal vectors collapse to weighted spots, which lie in leaves of a kd tree; each meets the leaves
+    within its reach, and clusters that cross leaves are joined as components of their links.
     """
     rows = cut_lineage(points.select(key, vector_to_array("point").alias("p")))
     first = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("p")).alias("dims")).first()
@@ -200,29 +204,39 @@ def density_clusters(points: DataFrame, key: str, eps: float | None = None, min_
         weighted = knn_distance(placed, levels, dims, min(4, max(n - 1, 1))).join(spots.select("spot", "w"), "spot")
         eps = (quantile_values(weighted, "k_distance", [0.9], weight="w") or [0.0])[0]
         eps = eps if eps > 0 else 0.5
-    found = cut_lineage(kdtree.boxes(placed, dims))
-    near = cut_lineage(kdtree.near_leaves(found.withColumn("reach", F.lit(float(eps))), found, levels))
+
+    def asked(rows: DataFrame, target: DataFrame, reach: float) -> DataFrame:
+        """Rows once for each leaf of ``target`` within ``reach``."""
+        return cut_lineage(kdtree.reached(rows.withColumn("reach", F.lit(float(reach))), cut_lineage(kdtree.boxes(target, dims)), levels))
 
     around = lambda a, b: [a.column("spot"), (kdtree.distances(a.p, b.p) <= eps) @ b.column("w")]
-    counts = kdtree.meet(placed, placed, near, around, "spot string, near bigint").groupBy("spot").agg(F.sum("near").alias("near"))
+    counts = kdtree.meet(asked(placed.drop("w"), placed, eps), placed, around, "spot string, near bigint").groupBy("spot").agg(F.sum("near").alias("near"))
     core = cut_lineage(placed.join(counts.where(F.col("near") >= min_rows).select("spot"), "spot", "left_semi"))
     if core.isEmpty():
         return rows.select(key, F.lit(None).cast("int").alias("cluster"))
-    own = core.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
 
     def within(a: kdtree.Side, b: kdtree.Side) -> list:
         names = b.column("spot")
-        return [names, names[_linked(b, eps)]] if len(names) else [[], []]
+        return [names, names[_linked(b, eps)]]
 
-    parts = kdtree.meet(core.limit(0), core, own, within, "spot string, part string")
+    # a row for each leaf asks
+    leaves = core.groupBy("node").agg(F.first("p").alias("p")).withColumn("b", F.col("node"))
+    parts = kdtree.meet(cut_lineage(leaves), core, within, "spot string, part string")
     core = cut_lineage(core.join(parts, "spot"))
 
     def links(a: kdtree.Side, b: kdtree.Side) -> list:
-        i, j = np.nonzero(kdtree.distances(a.p, b.p) <= eps)
-        linked = sorted(set(zip(a.column("part")[i], b.column("part")[j])))
-        return [[x for x, _ in linked], [y for _, y in linked]]
-
-    crossing = kdtree.meet(core, core, near.where("a < b"), links, "a string, b string")
+        if not len(a.p) or not len(b.p):
+            return [[], []]
+        (x, i), (y, j) = (np.unique(side.column(name), return_inverse=True) for side, name in ((a, "asker"), (b, "part")))
+        near = kdtree.distances(a.p, b.p) <= eps
+        linked = np.zeros((len(x), len(y)), bool)
+        for n in range(len(y)):
+            linked[i[near[:, j == n].any(axis=1)], n] = True
+        p, q = np.nonzero(linked)
+        return [x[p], y[q]]
+
+    askers = asked(core.select("p", "node", F.col("part").alias("asker")), core, eps).where("node < b")
+    crossing = kdtree.meet(askers, core, links, "a string, b string")
     labels = components(crossing, core.select(F.col("part").alias("node")).distinct())
     core = cut_lineage(core.join(labels.withColumnRenamed("node", "part"), "part").select("spot", "p", "node", "label"))
 
@@ -234,19 +248,18 @@ def density_clusters(points: DataFrame, key: str, eps: float | None = None, min_
         at = order[d[:, order].argmin(axis=1)]
         return [a.column("spot"), d[np.arange(len(at)), at], label[at]]
 
-    def joined(rest: DataFrame, target: DataFrame, pairs: DataFrame, reach: float) -> DataFrame:
-        met = kdtree.meet(rest, target, pairs, closest, "spot string, d double, label string")
+    def joined(rest: DataFrame, target: DataFrame, reach: float) -> DataFrame:
+        met = kdtree.meet(asked(rest, target, reach), target, closest, "spot string, d double, label string")
         best = met.where(F.col("d") <= reach).groupBy("spot").agg(F.min(F.struct("d", "label")).alias("b"))
         return rest.join(best, "spot").select("spot", "p", "node", F.col("b.label").alias("label"))
 
     rest = placed.join(core.select("spot"), "spot", "left_anti").select("spot", "p", "node")
-    clustered = cut_lineage(core.unionByName(joined(rest, core, near, eps)))
+    clustered = cut_lineage(core.unionByName(joined(rest, core, eps)))
     open_ = cut_lineage(rest.join(clustered.select("spot"), "spot", "left_anti"))
     settled, reach = clustered, float(eps)
     while not open_.isEmpty():  # ends, since the reach doubles until it spans all rows
         reach *= 2
-        pairs = kdtree.near_leaves(kdtree.boxes(open_, dims).withColumn("reach", F.lit(reach)), found, levels)
-        hit = cut_lineage(joined(open_, clustered, pairs, reach))
+        hit = cut_lineage(joined(open_, clustered, reach))
         settled, open_ = settled.unionByName(hit), cut_lineage(open_.join(hit.select("spot"), "spot", "left_anti"))
     out = rows.join(settled.select("p", "label"), "p", "left")
     numbers = global_rank(settled.select("label").distinct(), [F.col("label")], "_number")

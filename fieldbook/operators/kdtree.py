@@ -1,8 +1,9 @@
 """Vectors of any number of components in small leaves of a kd tree, and work between leaves that lie near each other.
 
-A node with too many rows is cut at quantiles of its widest component, level by level. Boxes of leaves are sent down the same
-cuts to find the leaves within a distance. Rows meet in pairs of leaves, so a task holds two leaves, however many rows there are
-and however many components they have.
+A node with too many rows is cut at quantiles of its widest component, level by level. Rows are sent down the same cuts, each
+with its own reach, to the leaves within that distance: a row reaches few leaves, however many a whole leaf would reach. They
+meet the rows of a leaf some at a time, so a task holds about two leaves, however many rows there are and however many
+components they have.
 """
 
 from __future__ import annotations
@@ -52,22 +53,21 @@ def boxes(placed: DataFrame, dims: int) -> DataFrame:
     return placed.groupBy("node").agg(low.alias("low"), high.alias("high"))
 
 
-def near_leaves(asking: DataFrame, found: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """Pairs of leaves ``a``, ``b`` whose boxes are at most ``reach`` (a column of ``asking``) apart."""
-    rows = asking.select(F.col("node").alias("a"), "low", "high", "reach", F.lit("").alias("node"))
+def reached(asking: DataFrame, found: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Rows of ``asking``, once for each leaf ``b`` of ``found`` (boxes) that is at most ``reach`` (a column) away from the row."""
+    keep = [c for c in asking.columns if c != "reach"]
+    rows = asking.withColumn("b", F.lit(""))
     for cut in levels:
-        split = rows.join(if_small(cut), "node", "left")
-        edge = lambda c, far: F.element_at(c, F.col("dim") + 1) + far
-        first, last = _child(edge("low", -F.col("reach"))), _child(edge("high", F.col("reach")))
-        child = F.when(F.col("cuts").isNotNull(), F.sequence(first, last)).otherwise(F.array(F.lit(-1)))
+        split = rows.join(if_small(cut.withColumnRenamed("node", "b")), "b", "left")
+        x = F.element_at("p", F.col("dim") + 1)
+        child = F.when(F.col("cuts").isNotNull(), F.sequence(_child(x - F.col("reach")), _child(x + F.col("reach")))).otherwise(F.array(F.lit(-1)))
         rows = split.withColumn("_c", F.explode(child))
-        rows = rows.withColumn("node", F.when(F.col("_c") < 0, F.col("node")).otherwise(F.concat_ws(".", "node", F.col("_c").cast("string")))).drop("dim", "cuts", "_c")
-    other = found.select("node", F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    met = rows.join(other, "node")
+        rows = rows.withColumn("b", F.when(F.col("_c") < 0, F.col("b")).otherwise(F.concat_ws(".", "b", F.col("_c").cast("string")))).drop("dim", "cuts", "_c")
+    met = rows.join(if_small(found.select(F.col("node").alias("b"), "low", "high")), "b")
     zero = F.lit(0.0)
-    gaps = F.zip_with(F.zip_with("low", "high_b", lambda l, h: l - h), F.zip_with("low_b", "high", lambda l, h: l - h), lambda x, y: F.greatest(x, y, zero))  # noqa: E741
+    gaps = F.zip_with(F.zip_with("low", "p", lambda l, x: l - x), F.zip_with("p", "high", lambda x, h: x - h), lambda x, y: F.greatest(x, y, zero))  # noqa: E741
     apart = F.sqrt(F.aggregate(gaps, zero, lambda s, g: s + g * g))
-    return met.where(apart <= F.col("reach") * 1.000000001 + 1e-12).select("a", F.col("node").alias("b"))
+    return met.where(apart <= F.col("reach") * 1.000000001 + 1e-12).select(*keep, "b")
 
 
 class Side:
@@ -90,12 +90,17 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(out)
 
 
-def meet(asking: DataFrame, found: DataFrame, pairs: DataFrame, fn: Callable[[Side, Side], list], schema: str) -> DataFrame:
-    """``fn`` over the rows of every pair of leaves: the asking ones of leaf a, the found ones of leaf b. It returns columns."""
-    names = [c for c in dict.fromkeys([*asking.columns, *found.columns]) if c != "node"]
-    left = asking.join(pairs, asking["node"] == pairs["a"]).drop("node").withColumn("_side", F.lit(0))
-    right = found.join(pairs, found["node"] == pairs["b"]).drop("node").withColumn("_side", F.lit(1))
-    both = left.unionByName(right, allowMissingColumns=True).select("a", "b", "_side", *names)
+def meet(asking: DataFrame, found: DataFrame, fn: Callable[[Side, Side], list], schema: str) -> DataFrame:
+    """``fn`` over the asking rows of a leaf ``b``, LEAF of them or so at a time, and all found rows of that leaf. It returns columns.
+
+    ``asking`` is read twice, so it should be stored.
+    """
+    names = [c for c in dict.fromkeys([*asking.columns, *found.columns]) if c not in ("node", "b")]
+    parts = asking.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("_parts"))
+    parts = if_small(cut_lineage(parts))
+    left = asking.drop("node").join(parts, "b").withColumn("_part", F.pmod(F.xxhash64("p"), F.col("_parts")).cast("int")).drop("_parts")
+    right = found.withColumnRenamed("node", "b").join(parts, "b").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    both = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True).select("b", "_part", "_side", *names)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -106,4 +111,4 @@ def meet(asking: DataFrame, found: DataFrame, pairs: DataFrame, fn: Callable[[Si
         columns = fn(*[Side(table.take(pa.array(np.flatnonzero(side == s)))) for s in (0, 1)])
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return both.groupBy("a", "b").applyInArrow(run, schema)
+    return both.groupBy("b", "_part").applyInArrow(run, schema)

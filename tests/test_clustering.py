@@ -69,6 +69,28 @@ def test_density_clusters_of_many_components(spark, dims, leaf):
     assert same_groups([got[i] for i in range(len(points))], brute_dbscan(points, eps, max(2, len(points) // 50)))
 
 
+def test_a_far_row_does_not_take_its_leaf_along(spark):
+    """Each row asks the leaves within its own reach: one with a wide reach must not send the rest of its leaf to all others."""
+    rng = np.random.default_rng(1)
+    points = rng.uniform(0, 1, (600, 3))
+    rows = [(str(i), [float(x) for x in p], 1) for i, p in enumerate(points)]
+    placed, levels = kdtree.partition(spark.createDataFrame(rows, "spot string, p array<double>, w bigint"), 3, 40)
+    boxes = {r["node"]: (np.array(r["low"]), np.array(r["high"])) for r in kdtree.boxes(placed, 3).collect()}
+    reach = {str(i): 0.9 if i % 60 == 0 else 0.02 for i in range(600)}
+    asking = placed.withColumn("reach", F.when(F.col("spot").cast("int") % 60 == 0, 0.9).otherwise(0.02))
+    got = sorted((r["spot"], r["b"]) for r in kdtree.reached(asking, kdtree.boxes(placed, 3), levels).collect())
+    apart = lambda p, low, high: np.sqrt((np.maximum(np.maximum(low - p, p - high), 0) ** 2).sum())
+    assert len(boxes) > 15 and got == sorted((str(i), b) for i, p in enumerate(points) for b, box in boxes.items() if apart(p, *box) <= reach[str(i)])
+
+
+@pytest.mark.parametrize("k", [1, 3, 7, 9])
+def test_kth_distance_counts_copies(k):
+    rng = np.random.default_rng(k)
+    d, weight = rng.integers(0, 5, (50, 7)).astype(float), rng.integers(1, 3, 7)
+    want = [(sorted(np.repeat(row, weight)) + [np.inf] * k)[k - 1] for row in d]
+    assert clustering._kth(d, weight, k).tolist() == want
+
+
 def test_density_clusters_of_little(spark):
     df, _ = blobs(spark)
     assert clustering.density_clusters(df.limit(0), "id").collect() == []
