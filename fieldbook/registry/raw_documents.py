@@ -2,6 +2,10 @@
 
 A document holds one parcel, or two when the part number is even, all from the same source row, so
 building it needs no grouping. Field aliases vary by line number, the document shape by part number.
+
+Fused with its neighbours, the step that writes the texts would be one generated method of more than 8,000
+bytes of bytecode, which the JVM only interprets. A projection with a lambda function is not fused but
+generated in many small methods, so both wide steps hold one (``_unfused_text``).
 """
 
 from __future__ import annotations
@@ -70,6 +74,10 @@ NESTED = dict(
 )
 
 
+def _unfused_text(number):
+    return F.transform(F.array(number), lambda n: n.cast("string"))[0]
+
+
 def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     li = spread(base(spark, sf, "lineitem"))
     part, supp, line, order = (F.col(f"l_{c}") for c in ("partkey", "suppkey", "linenumber", "orderkey"))
@@ -100,7 +108,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
         (supp % 5 - 1).alias("building_count"),
         geometry.alias("geometry"),
     ]
-    ident = F.when(order % 31 != 30, F.concat(F.lit("P"), part.cast("string"))).alias("id")
+    ident = F.when(order % 31 != 30, F.concat(F.lit("P"), _unfused_text(part))).alias("id")
     nulls = {"ignoreNullFields": "false"}
     first = (
         F.when(line % 3 == 0, F.to_json(F.struct("id", "common.*", *_money(PLAIN))))
@@ -111,13 +119,13 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     two = part % 2 == 0
     # Built in steps, so that the text of a parcel is computed once per row.
     li = li.withColumns({"id": ident, "common": F.struct(*common)})
-    li = li.withColumns({"first": first, "second": F.when(two, second)})
+    li = li.withColumns({"first": first, "second": F.when(two, second), "chunk": _unfused_text(line)})
     li = li.withColumn("body", F.concat_ws(",", "first", "second"))
     li = li.withColumn("listed", F.concat(F.lit("["), F.col("body"), F.lit("]")))
     listed = F.col("listed")
     wrapped = (
         F.when(~two & (supp % 5 == 0), F.col("first"))
-        .when(part % 8 < 2, F.concat(F.lit('{"chunk_index":'), line.cast("string"), F.lit(',"parcels":'), listed, F.lit("}")))
+        .when(part % 8 < 2, F.concat(F.lit('{"chunk_index":'), F.col("chunk"), F.lit(',"parcels":'), listed, F.lit("}")))
         .when(part % 8 < 4, listed)
         .when(part % 8 < 6, F.concat(F.lit('{"features":'), listed, F.lit("}")))
         .otherwise(F.concat(F.lit('{"results":'), listed, F.lit("}")))
