@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,22 @@ CURATED_COLUMNS = [
     "ingestion_timestamp", "processed_at", "record_id",
 ]
 
+# The carried columns behind each output column that is not carried under its own name.
+MADE_FROM = {
+    "property_category": ["property_type", "is_agricultural"], "value_category": ["assessed_value"], "age_category": ["year_built"],
+    "investment_potential": ["property_type", "is_agricultural", "assessed_value", "acres", "assessed_value_per_acre"],
+    "parcel_wkt": ["geometry_json"], "source_ingestion_timestamp": ["ingestion_timestamp"],
+    "source_processed_timestamp": ["processed_at"], "created_at": [], "updated_at": [],
+    "parcel_hash": ["regrid_id", "address", "owner_name", "acres", "assessed_value", "market_value", "property_type"],
+}
 
-def latest_parcels(staged: DataFrame) -> DataFrame:
-    """The newest valid record of each parcel; record_id settles equal times."""
-    valid = staged.where(F.col("data_quality_flag") == "valid").select("parcel_id", *CURATED_COLUMNS)
-    return latest_by(valid, ["parcel_id"], ["ingestion_timestamp", "processed_at", "record_id"])
+
+def latest_parcels(staged: DataFrame, columns: Sequence[str] = CURATED_COLUMNS) -> DataFrame:
+    """The newest valid record of each parcel; record_id settles equal times. Only ``columns`` are sorted and shuffled beside the
+    order: the planner does not prune the record that the aggregate keeps."""
+    newest = ["ingestion_timestamp", "processed_at", "record_id"]
+    valid = staged.where(F.col("data_quality_flag") == "valid")
+    return latest_by(valid.select("parcel_id", *columns, F.struct(*newest).alias("_newest")), ["parcel_id"], ["_newest"], columns)
 
 
 def valid_zip(c: Column) -> Column:
@@ -102,15 +114,27 @@ def investment_potential(category: Column, assessed: Column, acres: Column, per_
     )
 
 
-def curate_parcels(staged: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """The curated profile: one cleaned, categorised row per parcel.
+def curate_parcels(staged: DataFrame, as_of: dt.datetime | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """The curated profile: one cleaned, categorised row per parcel, with all its columns or those named.
 
     Categories are taken from the staged values, the output columns from the guarded ones.
     """
+    if columns is not None:
+        needed = {c for name in columns for c in MADE_FROM.get(name, [name])}
+        carried = [c for c in CURATED_COLUMNS if c in needed]
+        # What is not carried is read by no column that is returned.
+        kinds = {f.name: f.dataType for f in staged.schema}
+        blank = {c: F.lit(None).cast(kinds.get(c, "string")) for c in CURATED_COLUMNS if c not in needed}
+        latest = latest_parcels(staged, carried).withColumns(blank)
+        return _profile(latest, as_of).select(*columns)
+    return _profile(latest_parcels(staged), as_of)
+
+
+def _profile(latest: DataFrame, as_of: dt.datetime | None) -> DataFrame:
     now = F.lit(as_of) if as_of is not None else F.current_timestamp()
     year = as_of.year if as_of is not None else F.year(F.current_date())
     assessed, acres, farm = F.col("assessed_value"), F.col("acres"), F.col("is_agricultural")
-    base = latest_parcels(staged).withColumns(
+    base = latest.withColumns(
         {
             "property_category": property_category(F.col("property_type"), farm),
             "value_category": value_category(assessed),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,23 +46,28 @@ def recent(raw: DataFrame, as_of: dt.datetime | Column, days: int, ts: str = "in
     return raw.where(F.col(ts) >= F.lit(start))
 
 
-def _parcel_type() -> str:
-    """Every alias as text, so that odd values are kept for the lenient cast that follows."""
-    names = {p for paths in TEXT_FIELDS.values() for p in paths}
-    names |= {p for paths, _ in NUMBER_FIELDS.values() for p in paths}
-    plain = ", ".join(f"{n}: string" for n in sorted(n for n in names if "." not in n))
-    nested = ", ".join(f"{n[7:]}: string" for n in sorted(n for n in names if n.startswith("fields.")))
-    return f"{plain}, geometry: string, fields: struct<{nested}>"
+def _plain_names(fields: Sequence[str] | None) -> list[str]:
+    """Top-level aliases of the fields that are read, without the nested ones."""
+    paths = TEXT_FIELDS | {n: p for n, (p, _) in NUMBER_FIELDS.items()} | {"geometry_json": ["geometry"]}
+    return sorted({p for n, aliases in paths.items() if fields is None or n in fields for p in aliases if "." not in p})
 
 
-def flatten_parcels(raw: DataFrame) -> DataFrame:
+def _parcel_type(names: Sequence[str]) -> str:
+    """Every alias as text, so that odd values are kept for the lenient cast that follows. The nested ones are always read, since
+    a document of another shape there is not well-formed; text can be read from any value, so leaving out a name changes no row."""
+    nested = sorted({p[7:] for paths, _ in NUMBER_FIELDS.values() for p in paths if p.startswith("fields.")})
+    return ", ".join([*[f"{n}: string" for n in names], f"fields: struct<{', '.join(f'{n}: string' for n in nested)}>"])
+
+
+def flatten_parcels(raw: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """One row per parcel, with its position in the document; documents without parcels give none.
 
     The list of parcels may be the document itself or sit under ``parcels``, ``features`` or
     ``results``; any other well-formed object is one parcel. The text is parsed once, straight into
-    the fields that later steps use.
+    the fields that later steps use: all, or those named by ``fields``.
     """
-    parcel = _parcel_type()
+    names = _plain_names(fields)
+    parcel = _parcel_type(names)
     text = F.col("raw_data")
     is_list = F.ltrim(text).startswith("[")
     shapes = ", ".join(f"{n}: array<struct<{parcel}>>" for n in ("parcels", "features", "results"))
@@ -71,34 +77,35 @@ def flatten_parcels(raw: DataFrame) -> DataFrame:
             "_doc": F.when(~is_list, F.from_json(text, f"struct<{parcel}, {shapes}, _corrupt_record: string>")),
         }
     )
-    lone = F.when(F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull(), F.array(_as_parcel("_doc")))
+    alone = F.array(F.struct(*[F.col(f"_doc.{n}").alias(n) for n in [*names, "fields"]]))
+    lone = F.when(F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull(), alone)
     found = F.coalesce("_list", "_doc.parcels", "_doc.features", "_doc.results", lone)
     return docs.select(*RAW_COLUMNS, F.posexplode(found).alias("parcel_index_in_chunk", "parcel"))
 
 
-def _as_parcel(doc: str) -> Column:
-    names = [part.split(":")[0].strip() for part in _parcel_type().split(", fields:")[0].split(",")]
-    return F.struct(*[F.col(f"{doc}.{n}").alias(n) for n in names], F.col(f"{doc}.fields").alias("fields"))
-
-
 def _first(paths: list[str], kind: str | None = None) -> Column:
     """First alias that holds a usable value; each is cast before the coalesce."""
     cols = [F.col(f"parcel.{p}") for p in paths]
     return F.coalesce(*[c.try_cast(kind) if kind else c for c in cols])
 
 
-def extract_fields(flat: DataFrame) -> DataFrame:
-    """Typed columns from the parcel; every field takes the first alias that holds a value.
+def extract_fields(flat: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """Typed columns from the parcel, all or those named; every field takes the first alias that holds a value.
 
     Money is read as double and then rounded to the column's scale, so that a value with more
     decimals than the column is kept instead of failing the cast.
     """
-    cols = [_first(paths).alias(n) for n, paths in TEXT_FIELDS.items()]
+    wanted = {*TEXT_FIELDS, *NUMBER_FIELDS, "geometry_json"} if fields is None else set(fields)
+    cols = [_first(paths).alias(n) for n, paths in TEXT_FIELDS.items() if n in wanted]
     for name, (paths, kind) in NUMBER_FIELDS.items():
+        if name not in wanted:
+            continue
         value = _first(paths, "double")
         cols.append((value if kind == "double" else value.try_cast(kind)).alias(name))
     keep = [c for c in flat.columns if c != "parcel"]
-    return flat.select(*keep, *cols, F.col("parcel.geometry").alias("geometry_json"))
+    if "geometry_json" in wanted:
+        cols.append(F.col("parcel.geometry").alias("geometry_json"))
+    return flat.select(*keep, *cols)
 
 
 def quality_flag() -> Column:
@@ -150,12 +157,16 @@ def add_ratios(df: DataFrame) -> DataFrame:
     )
 
 
-def stage_parcels(raw: DataFrame, as_of: dt.datetime | None = None, retention_days: int | None = 90) -> DataFrame:
-    """The staging table: flatten, extract, flag, clean, categorise; rows without an id are dropped."""
+def stage_parcels(
+    raw: DataFrame, as_of: dt.datetime | None = None, retention_days: int | None = 90, numbers: Sequence[str] | None = None
+) -> DataFrame:
+    """The staging table: flatten, extract, flag, clean, categorise; rows without an id are dropped. Where ``numbers`` names number
+    fields, only those and the ones that this step uses itself are read."""
+    fields = None if numbers is None else [*TEXT_FIELDS, "acres", "assessed_value", "market_value", "geometry_json", *numbers]
     if retention_days is not None:
         raw = recent(raw, as_of if as_of is not None else F.current_timestamp(), retention_days)
     stamp = F.lit(as_of) if as_of is not None else F.current_timestamp()
-    parsed = extract_fields(flatten_parcels(raw)).withColumns(
+    parsed = extract_fields(flatten_parcels(raw, fields), fields).withColumns(
         {
             "data_quality_flag": quality_flag(),
             "record_id": surrogate_key("file_name", "file_row_number", "parcel_index_in_chunk"),

@@ -13,11 +13,12 @@ from fieldbook.registry.raw_documents import AS_OF, parcel_sql, raw_documents
 
 
 def _staged(spark, sf):
-    return staging.stage_parcels(raw_documents(spark, sf), AS_OF, retention_days=None)
+    return staging.stage_parcels(raw_documents(spark, sf), AS_OF, retention_days=None, numbers=[])
 
 
-def _parsed(spark, sf):
-    return staging.extract_fields(staging.flatten_parcels(raw_documents(spark, sf)))
+def _parsed(spark, sf, fields=None):
+    """Parcels with the fields that the query goes on to use; the planner does not prune what is read from a text."""
+    return staging.extract_fields(staging.flatten_parcels(raw_documents(spark, sf), fields), fields)
 
 
 FLAG = """CASE WHEN parcel_id IS NULL THEN 'missing_id' WHEN acres IS NULL OR acres <= 0 THEN 'invalid_acres'
@@ -67,7 +68,7 @@ SELECT parcel_id, round(assessed_value, 2) AS assessed_value, round(market_value
   round(land_value, 2) AS land_value FROM fields"""))
 def p03(spark, sf):
     money = ["assessed_value", "market_value", "tax_amount", "improvement_value", "land_value"]
-    return _parsed(spark, sf).select(
+    return _parsed(spark, sf, ["parcel_id", "tax_year", *money]).select(
         "parcel_id", *[F.col(c).cast("double").alias(c) for c in money], F.col("tax_year").cast("bigint").alias("tax_year")
     )
 
@@ -76,7 +77,7 @@ def p03(spark, sf):
 SELECT parcel_id, upper(trim(state)) AS state, upper(trim(coalesce(parcel_county, county))) AS county_name,
   trim(address) AS address, trim(city) AS city, trim(zip_code) AS zip_code FROM fields"""))
 def p04(spark, sf):
-    cleaned = staging.clean_columns(_parsed(spark, sf))
+    cleaned = staging.clean_columns(_parsed(spark, sf, staging.TEXT_FIELDS))
     return cleaned.select("parcel_id", "state", "county_name", "address", "city", "zip_code")
 
 
@@ -85,7 +86,7 @@ SELECT parcel_id, coalesce(nullif(trim(address), ''), 'Address Not Available') A
   coalesce(nullif(trim(city), ''), 'Unknown') AS city, coalesce(nullif(trim(owner_name), ''), 'Owner Not Available') AS owner_name
 FROM fields"""))
 def p05(spark, sf):
-    return _parsed(spark, sf).select(
+    return _parsed(spark, sf, ["parcel_id", "address", "city", "owner_name"]).select(
         "parcel_id", text_or("address", "Address Not Available").alias("address"),
         text_or("city", "Unknown").alias("city"), text_or("owner_name", "Owner Not Available").alias("owner_name"),
     )
@@ -111,14 +112,14 @@ def p06(spark, sf):
 SELECT parcel_id, trim(zip_code) AS given, CASE WHEN regexp_full_match(trim(zip_code), '[0-9]{5}') THEN trim(zip_code) END AS zip_code FROM fields"""))
 def p07(spark, sf):
     given = F.trim("zip_code")
-    return _parsed(spark, sf).select("parcel_id", given.alias("given"), curation.valid_zip(given).alias("zip_code"))
+    return _parsed(spark, sf, ["parcel_id", "zip_code"]).select("parcel_id", given.alias("given"), curation.valid_zip(given).alias("zip_code"))
 
 
 @query("p08_ratios", parcel_sql("""
 SELECT parcel_id, round(CASE WHEN acres > 0 THEN round(assessed_value, 2) / acres END, 6) AS assessed_value_per_acre,
   round(CASE WHEN market_value > 0 AND assessed_value > 0 THEN round(assessed_value, 2) / round(market_value, 2) END, 6) AS assessment_ratio FROM fields"""))
 def p08(spark, sf):
-    out = staging.add_ratios(_parsed(spark, sf))
+    out = staging.add_ratios(_parsed(spark, sf, ["parcel_id", "acres", "assessed_value", "market_value"]))
     return out.select(
         "parcel_id", F.round("assessed_value_per_acre", 6).alias("assessed_value_per_acre"),
         F.round("assessment_ratio", 6).alias("assessment_ratio"),
@@ -136,7 +137,7 @@ SELECT CASE WHEN acres IS NULL THEN 'unknown' WHEN acres < 1 THEN 'small' WHEN a
   count(*) AS parcels FROM fields GROUP BY ALL"""))
 def p09(spark, sf):
     return (
-        _parsed(spark, sf)
+        _parsed(spark, sf, ["acres", "assessed_value", "year_built"])
         .groupBy(
             staging.size_category(F.col("acres")).alias("size_category"),
             curation.value_category(F.col("assessed_value")).alias("value_category"),
@@ -152,7 +153,7 @@ SELECT land_use_description, coalesce(lower(land_use_description) LIKE '%farm%'
   count(*) AS n FROM fields GROUP BY ALL"""))
 def p10(spark, sf):
     return (
-        _parsed(spark, sf)
+        _parsed(spark, sf, ["land_use_description"])
         .groupBy("land_use_description", staging.is_farm_use(F.col("land_use_description")).alias("is_agricultural"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -164,14 +165,14 @@ SELECT parcel_id, property_category, CASE WHEN assessed_value IS NULL OR acres I
   WHEN property_category = 'Residential' AND assessed_value BETWEEN 100000 AND 300000 THEN 'Medium'
   WHEN property_category = 'Commercial' AND assessed_value > 200000 THEN 'High' ELSE 'Low' END AS investment_potential FROM categories"""))
 def p11(spark, sf):
-    return curation.curate_parcels(_staged(spark, sf), AS_OF).select("parcel_id", "property_category", "investment_potential")
+    return curation.curate_parcels(_staged(spark, sf), AS_OF, ["parcel_id", "property_category", "investment_potential"])
 
 
 @query("p12_record_keys", parcel_sql(f"""
 SELECT file_name, CAST(idx AS BIGINT) AS parcel_index, {RECORD_ID} AS record_id,
   md5(coalesce(parcel_id, '~null~') || '-' || coalesce(owner_name, '~null~') || '-' || coalesce(address, '~null~')) AS change_key FROM fields"""))
 def p12(spark, sf):
-    return _parsed(spark, sf).select(
+    return _parsed(spark, sf, ["parcel_id", "owner_name", "address"]).select(
         "file_name", F.col("parcel_index_in_chunk").cast("bigint").alias("parcel_index"),
         surrogate_key("file_name", "file_row_number", "parcel_index_in_chunk").alias("record_id"),
         surrogate_key("parcel_id", "owner_name", "address").alias("change_key"),
@@ -189,13 +190,13 @@ def p13(spark, sf):
 
 @query("p14_quality_flag", parcel_sql(f"SELECT {FLAG} AS data_quality_flag, count(*) AS n FROM fields GROUP BY 1"))
 def p14(spark, sf):
-    return _parsed(spark, sf).groupBy(staging.quality_flag().alias("data_quality_flag")).agg(F.count(F.lit(1)).alias("n"))
+    return _parsed(spark, sf, ["parcel_id", "acres", "geometry_json"]).groupBy(staging.quality_flag().alias("data_quality_flag")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("w01_latest_per_parcel", latest_sql("""
 SELECT parcel_id, record_id, strftime(l_shipdate, '%Y-%m-%d') AS ingested FROM latest"""))
 def w01(spark, sf):
-    return curation.latest_parcels(_staged(spark, sf)).select(
+    return curation.latest_parcels(_staged(spark, sf), ["ingestion_timestamp", "record_id"]).select(
         "parcel_id", "record_id", F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("ingested")
     )
 
@@ -215,7 +216,11 @@ SELECT parcel_id, upper(trim(state)) AS state, upper(trim(coalesce(parcel_county
   CASE WHEN acres < 1 THEN 'small' WHEN acres <= 10 THEN 'medium' WHEN acres <= 100 THEN 'large' ELSE 'very_large' END AS size_category
 FROM categories"""))
 def curated(spark, sf):
-    out = curated_parcels(raw_documents(spark, sf), AS_OF, retention_days=None)
+    names = (
+        "parcel_id state county_name address city zip_code owner_name acres property_type assessed_value market_value year_built "
+        "assessed_value_per_acre is_agricultural property_category value_category age_category size_category"
+    ).split()
+    out = curated_parcels(raw_documents(spark, sf), AS_OF, retention_days=None, columns=names)
     return out.select(
         "parcel_id", "state", "county_name", "address", "city", "zip_code", "owner_name", "acres", "property_type",
         F.col("assessed_value").cast("double").alias("assessed_value"), F.col("market_value").cast("double").alias("market_value"),
