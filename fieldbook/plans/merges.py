@@ -15,20 +15,25 @@ from fieldbook.operators.staging import clean_columns, extract_fields, flatten_p
 
 def merge_source(raw: DataFrame, as_of: dt.datetime, days: int | None = 1, first_only: bool = False) -> DataFrame:
     """Distinct parcels of recent documents; ``first_only`` takes just the first parcel of each."""
+    return _versions(raw, as_of, days, first_only).distinct()
+
+
+def _versions(raw: DataFrame, as_of: dt.datetime, days: int | None, first_only: bool) -> DataFrame:
     rows = flatten_parcels(raw if days is None else recent(raw, as_of, days))
     if first_only:
         rows = rows.where("parcel_index_in_chunk = 0")
     typed = clean_columns(extract_fields(rows).where(F.col("parcel_id").isNotNull()))
     drop = ["file_name", "file_row_number", "ingestion_type", "county", "chunk_index", "parcel_count", "parcel_index_in_chunk"]
-    return typed.drop(*drop).distinct()
+    return typed.drop(*drop)
 
 
 def curated_merge(target: DataFrame, raw: DataFrame, as_of: dt.datetime, days: int | None = 1, first_only: bool = False) -> DataFrame:
     """New state of the curated table: matched parcels are updated and stamped, others inserted.
 
-    Several versions of a parcel in one run compete by ingestion time, then by their remaining columns.
+    Several versions of a parcel in one run compete by ingestion time, then by their remaining columns. That order covers every
+    column, so it collapses repeated versions too, and they need no shuffle of their own.
     """
-    source = merge_source(raw, as_of, days, first_only)
+    source = _versions(raw, as_of, days, first_only)
     rest = [c for c in source.columns if c not in ("parcel_id", "ingestion_timestamp")]
     stamped = source.withColumn("updated_at", F.lit(as_of))
     return upsert(target, stamped, ["parcel_id"], newest=["ingestion_timestamp", *rest])

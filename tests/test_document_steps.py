@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.operators import curation, staging
+from fieldbook.plans import merges
 from fieldbook.registry.parcels import curated, p10
 from fieldbook.registry.raw_documents import raw_documents
 
@@ -74,3 +75,15 @@ def test_named_columns_of_the_profile_are_the_same(spark):
         assert some.orderBy("parcel_id").collect() == every.select(*names).orderBy("parcel_id").collect()
     newest = {r["parcel_id"]: r["acres"] for r in every.select("parcel_id", F.col("acres")).collect()}
     assert newest == {"P0": 7.0, "P1": 8.0, "P2": 9.0}
+
+
+def test_versions_of_a_merge_are_shuffled_once(spark):
+    text = '{"parcels":[{"id":"A","acres":1},{"id":"B","acres":2}]}'
+    docs = documents(spark, [text, text, '{"id":"A","acres":5}', '{"id":"A","acres":5}'])
+    docs = docs.withColumn("ingestion_timestamp", F.lit(AS_OF))
+    source = merges.merge_source(docs, AS_OF, None)
+    assert source.count() == 3
+    target = source.limit(0).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    merged = merges.curated_merge(target, docs, AS_OF, None)
+    assert {r["parcel_id"]: r["acres"] for r in merged.collect()} == {"A": 5.0, "B": 2.0}
+    assert merged.select("parcel_id", "acres")._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
