@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.session import cut_lineage, shuffle_width
+from fieldbook.session import cut_lineage, if_small, shuffle_width
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -180,7 +180,9 @@ def with_group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     """Rows per key as a column; null keys get null.
 
     Counting first and joining back keeps a hot key spread out: the counts combine on the map side
-    and the join is one the adaptive planner may split.
+    and are stored and broadcast while there are few. Shuffled, the rows would end in as many tasks
+    as there are keys, or fewer; with many keys that does no harm.
     """
     sizes = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(out))
+    sizes = if_small(cut_lineage(sizes))
     return df.join(sizes, df[key] == sizes["_key"], "left").drop("_key")

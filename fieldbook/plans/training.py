@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.operators import clustering, crm, hierarchy, models, reports, rules
-from fieldbook.session import cut_lineage
+from fieldbook.session import cut_lineage, spread
 
 IDENTITY = ["contact_id", "firstname", "lastname", "email", "phone", "company", "company_name", "owner_id", "created_epoch", "modified_epoch"]
 # Columns that state the target.
@@ -23,12 +23,12 @@ DEAL_FEATURES = ["amount", "stage_probability", "stage_order", "created_month",
 
 def lead_frame(leads: DataFrame, as_of: dt.datetime, seed=None) -> DataFrame:
     """Lead features with qualification and the conversion target, stored once for all models."""
-    features = rules.qualify(crm.lead_features(leads, as_of), as_of, seed)
+    features = rules.qualify(crm.lead_features(spread(leads), as_of), as_of, seed)
     return cut_lineage(features.withColumn("converted", crm.conversion_target(F.col("lifecyclestage"))))
 
 
 def churn_frame(leads: DataFrame, as_of: dt.datetime, threshold_days: int = 90) -> DataFrame:
-    features = crm.churn_features(crm.lead_features(leads, as_of), threshold_days)
+    features = crm.churn_features(crm.lead_features(spread(leads), as_of), threshold_days)
     return cut_lineage(crm.churn_target(features, threshold_days))
 
 
@@ -78,10 +78,11 @@ def segment(frame: DataFrame, k: int | None = None, most: int = 10) -> tuple[obj
     features = clustering.varied_features(frame)
     reduction, points = clustering.reduce_features(frame, features)
     points = cut_lineage(points)
+    vectors = cut_lineage(points.select("point"))  # every fit reads its rows anew, and a stored row is read whole
     if k is None:
-        k, _ = clustering.choose_k(points, most)
-    model, labelled = clustering.kmeans(points, k)
-    return reduction, model, clustering.named(labelled)
+        k, _ = clustering.choose_k(vectors, most)
+    model, _ = clustering.kmeans(vectors, k)
+    return reduction, model, clustering.named(model.transform(points))
 
 
 def predict_segment(reduction, model, rows: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from fieldbook.operators import clustering, crm, hierarchy, models, reports
 from fieldbook.plans import training
 from fieldbook.registry import query
 from fieldbook.registry.crm import LEADS, T, _deals, _leads
-from fieldbook.session import cut_lineage, new_folder
+from fieldbook.session import cut_lineage, new_folder, spread
 
 AS_OF = dt.datetime(2002, 1, 1)
 SKIP = [*training.IDENTITY, *training.LEAD_LEAKS, "qualification_score"]
@@ -27,7 +27,7 @@ def _churn_frame(spark, sf):
 
 
 def _segment_frame(spark, sf):
-    frame = crm.segmentation_features(crm.lead_features(_leads(spark, sf), AS_OF))
+    frame = crm.segmentation_features(crm.lead_features(spread(_leads(spark, sf)), AS_OF))
     return cut_lineage(frame.withColumn("converted", crm.conversion_target(F.col("lifecyclestage"))))
 
 
