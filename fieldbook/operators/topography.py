@@ -68,16 +68,20 @@ def parcel_documents(points: DataFrame, order: list[Column], per_document: int =
     A parcel with many points is written as several numbered documents, so that no task has to hold
     all points of one parcel.
     """
+    return _point_lists(points, order, per_document).select(
+        "parcel_id", "part", F.size("elevation_points").alias("points"),
+        F.to_json(F.struct("parcel_id", "part", "elevation_points")).alias("document"),
+    )
+
+
+def _point_lists(points: DataFrame, order: list[Column], per_document: int) -> DataFrame:
+    """``elevation_points`` by parcel and ``part``, in order."""
     ranked = global_rank(points, order, "position", ["parcel_id"])
     fields = [c for c in points.columns if c != "parcel_id"]
     chunk = F.floor((F.col("position") - 1) / per_document).alias("part")
-    lists = ranked.groupBy("parcel_id", chunk).agg(
+    return ranked.groupBy("parcel_id", chunk).agg(
         F.array_sort(F.collect_list(F.struct("position", *fields))).alias("elevation_points")
     )
-    return lists.select(
-        "parcel_id", "part", F.size("elevation_points").alias("points"),
-        F.to_json(F.struct("parcel_id", "part", "elevation_points")).alias("document"),
-    )
 
 
 def whole_documents(points: DataFrame, terrain: DataFrame, order: list[Column], per_document: int = 1000) -> DataFrame:
@@ -88,20 +92,17 @@ def whole_documents(points: DataFrame, terrain: DataFrame, order: list[Column],
     fields = [c for c in terrain.columns if c != "parcel_id"]
     summary = parcel_summary(points)
     summary = summary.select("parcel_id", F.struct(*[c for c in summary.columns if c != "parcel_id"]).alias("summary"))
-    about = summary.join(terrain.select("parcel_id", F.struct(*fields).alias("terrain_analysis")), "parcel_id", "left").withColumn("part", F.lit(0).cast("bigint"))
-    parts = parcel_documents(points, order, per_document)
-    body = F.from_json("document", f"elevation_points {_points_type(points)}")["elevation_points"]
-    first = parts.join(about, ["parcel_id", "part"], "left")
-    return first.select(
-        "parcel_id", "part", "points", F.to_json(F.struct("parcel_id", "part", "summary", body.alias("elevation_points"), "terrain_analysis")).alias("document")
+    about = summary.join(terrain.select("parcel_id", F.struct(*fields).alias("terrain_analysis")), "parcel_id", "left")
+    # joined by the parcel alone, as the points already lie by parcel: no document is shuffled
+    first = F.col("part") == 0
+    lists = _point_lists(points, order, per_document).join(about, "parcel_id", "left")
+    lists = lists.withColumns({"summary": F.when(first, F.col("summary")), "terrain_analysis": F.when(first, F.col("terrain_analysis"))})
+    return lists.select(
+        "parcel_id", "part", F.size("elevation_points").alias("points"),
+        F.to_json(F.struct("parcel_id", "part", "summary", "elevation_points", "terrain_analysis")).alias("document"),
     )
 
 
-def _points_type(points: DataFrame) -> str:
-    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in points.schema.fields if f.name != "parcel_id")
-    return f"array<struct<position: bigint, {fields}>>"
-
-
 def terrain_class(slope: Column) -> Column:
     return first_match(
         [
