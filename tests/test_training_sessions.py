@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldbook import registry
 from fieldbook.operators import models
 from fieldbook.plans import training
-from fieldbook.session import side_by_side
+from fieldbook.session import in_new_session, side_by_side
 
 registry.load_all()
 SF = "/root/testdata/sf0.001"
@@ -45,3 +45,14 @@ def test_fits_run_at_once_and_keep_their_order(spark):
     assert side_by_side(spark, [lambda: both.wait() >= 0 and "a", lambda: both.wait() >= 0 and "b", lambda: spark.range(3).count()]) == ["a", "b", 3]
     with pytest.raises(ZeroDivisionError):
         side_by_side(spark, [lambda: 1, lambda: 1 / 0])
+
+
+def test_training_rows_of_one_file_are_dealt_out(spark, tmp_path):
+    """A table of deals is few splits, and all trees of a forest were grown there."""
+    rows = spark.range(0, 60_000, 1, 1).select("id", F.when(F.col("id") % 9 > 0, F.col("id") % 9).alias("x"))
+    got = in_new_session(rows, "dealt")
+    cores = spark.sparkContext.defaultParallelism
+    assert got.rdd.getNumPartitions() == cores and got.sparkSession is not spark
+    assert got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2 * 60_000 / cores
+    assert sorted(r["id"] for r in got.collect()) == list(range(60_000)) and got.collect() == got.collect()
+    assert in_new_session(rows.limit(100), "few").rdd.getNumPartitions() == 1
